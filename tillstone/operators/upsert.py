@@ -1,8 +1,10 @@
 """Keyed upserts: update the rows that match, insert the others, delete nothing.
 
-An upsert is one full outer join on the key. Each side carries a marker
-column, so "no source row" and "source value is NULL" stay apart. A NULL key
-matches nothing: require the key first if reruns must not insert it again.
+An upsert is one full outer join on the key, which shuffles both sides. For a
+batch that is known to be small there is a second form that broadcasts the
+batch and leaves the table where it is. Marker columns keep "no source row"
+and "source value is NULL" apart. A NULL key matches nothing: require the key
+first if reruns must not insert it again.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstone.operators.quality import all_present, keep_one
 
@@ -33,6 +36,7 @@ class Upsert:
         self._inserts: dict[str, str | Column] | None = None
         self._duplicates = "error"
         self._latest_by: tuple[str, ...] = ()
+        self._small_source = False
 
     def using(self, source: DataFrame) -> Upsert:
         self._source = source
@@ -53,6 +57,11 @@ class Upsert:
         self._duplicates, self._latest_by = policy, tuple(latest_by)
         return self
 
+    def small_source(self, small: bool = True) -> Upsert:
+        """Broadcast the source instead of shuffling the target; only for a source of checked size (``fits``)."""
+        self._small_source = small
+        return self
+
     def when_matched_update(self, assignments: dict[str, str | Column] | None = None) -> Upsert:
         self._updates = self._all_from_source(self._non_keys()) if assignments is None else dict(assignments)
         return self
@@ -81,45 +90,67 @@ class Upsert:
         """The merged rows with ``_action``: insert, update or keep."""
         if self._source is None or not self._keys:
             raise ValueError("an upsert needs using(source) and on(keys)")
-        source = self._marked_source().alias("source")
-        target = self._target.withColumn("_in_target", F.lit(True)).alias("target")
-        same_key = reduce(
-            lambda a, b: a & b, [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in self._keys]
-        )
+        source = self._marked_source()
+        merged = self._joined_small(source) if self._small_source else self._joined(source)
+        if self._inserts is None or self._duplicates == "unique":
+            return merged
+        nulls = self._as_inserts(self._source.filter(~all_present(self._keys)))
+        return merged.unionByName(nulls)
+
+    def _joined(self, source: DataFrame) -> DataFrame:
+        """One pass over both sides; rows of the source alone are the inserts."""
+        how = "full_outer" if self._inserts is not None else "left_outer"
         in_source, in_target = F.col("source._in_source").isNotNull(), F.col("target._in_target").isNotNull()
         matched, new = in_source & in_target, in_source & ~in_target
-        updates, inserts = self._updates or {}, self._inserts
+        joined = self._marked_target().join(source.alias("source"), self._same_key(), how)
         out = []
         for field in self._target.schema:
-            value = F.col(f"target.`{field.name}`")
-            if field.name in updates:
-                value = F.when(matched, _expression(updates[field.name]).cast(field.dataType)).otherwise(value)
-            if inserts is not None:
-                fresh = _expression(inserts.get(field.name, "null")).cast(field.dataType)
-                value = F.when(new, fresh).otherwise(value)
+            value = self._updated(field, matched)
+            if self._inserts is not None:
+                value = F.when(new, self._inserted(field)).otherwise(value)
             out.append(value.alias(field.name))
-        action = (
-            F.when(matched, F.lit("update" if self._updates is not None else "keep"))
-            .when(new, F.lit("insert"))
-            .otherwise(F.lit("keep"))
-        )
-        how = "full_outer" if inserts is not None else "left_outer"
-        merged = target.join(source, same_key, how).select(*out, action.alias(ACTION))
-        if inserts is None or self._duplicates == "unique":
-            return merged
-        return merged.unionByName(self._null_key_inserts())
-
-    def _null_key_inserts(self) -> DataFrame:
-        """Source rows with a NULL key part: always inserts, kept out of the join so they do not pile up in one task."""
+        action = F.when(new, F.lit("insert")).otherwise(self._matched_action(matched))
+        return joined.select(*out, action.alias(ACTION))
+
+    def _joined_small(self, source: DataFrame) -> DataFrame:
+        """The target looks its rows up in the broadcast source; source keys it does not have are the inserts."""
+        matched = F.col("source._in_source").isNotNull()
+        looked_up = self._marked_target().join(F.broadcast(source.alias("source")), self._same_key(), "left_outer")
+        out = [self._updated(f, matched).alias(f.name) for f in self._target.schema]
+        kept = looked_up.select(*out, self._matched_action(matched).alias(ACTION))
+        if self._inserts is None:
+            return kept
+        keys = list(self._keys)
+        known = self._target.select(keys).join(F.broadcast(source.select(keys)), keys, "left_semi")
+        return kept.unionByName(self._as_inserts(source.join(known, keys, "left_anti")))
+
+    def _marked_target(self) -> DataFrame:
+        return self._target.withColumn("_in_target", F.lit(True)).alias("target")
+
+    def _same_key(self) -> Column:
+        pairs = [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in self._keys]
+        return reduce(lambda a, b: a & b, pairs)
+
+    def _updated(self, field: T.StructField, matched: Column) -> Column:
+        kept = F.col(f"target.`{field.name}`")
+        if field.name not in (self._updates or {}):
+            return kept
+        return F.when(matched, _expression(self._updates[field.name]).cast(field.dataType)).otherwise(kept)
+
+    def _inserted(self, field: T.StructField) -> Column:
+        return _expression(self._inserts.get(field.name, "null")).cast(field.dataType)
+
+    def _matched_action(self, matched: Column) -> Column:
+        return F.when(matched, F.lit("keep" if self._updates is None else "update")).otherwise(F.lit("keep"))
+
+    def _as_inserts(self, rows: DataFrame) -> DataFrame:
+        """Source rows that are known to match nothing, as inserted rows."""
         no_target = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._target.schema]
-        rows = self._source.filter(~all_present(self._keys)).select(
-            F.struct(*[F.col(f"`{c}`") for c in self._source.columns]).alias("source"),
-            F.struct(*no_target).alias("target"),
+        paired = rows.select(
+            F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("source"), F.struct(*no_target).alias("target")
         )
-        values = [
-            _expression(self._inserts.get(f.name, "null")).cast(f.dataType).alias(f.name) for f in self._target.schema
-        ]
-        return rows.select(*values, F.lit("insert").alias(ACTION))
+        values = [self._inserted(f).alias(f.name) for f in self._target.schema]
+        return paired.select(*values, F.lit("insert").alias(ACTION))
 
     def to_df(self) -> DataFrame:
         return self.with_actions().drop(ACTION)
@@ -127,10 +158,8 @@ class Upsert:
     def into_catalog_table(self, table: str) -> None:
         """The same merge on a table of a catalog with row-level operations, which rewrites only the files it must."""
         source = self._marked_source().filter("_in_source").drop("_in_source").alias("source")
-        same_key = reduce(
-            lambda a, b: a & b, [F.col(f"{table}.`{k}`") == F.col(f"source.`{k}`") for k in self._keys]
-        )
-        writer = source.mergeInto(table, same_key)
+        pairs = [F.col(f"{table}.`{k}`") == F.col(f"source.`{k}`") for k in self._keys]
+        writer = source.mergeInto(table, reduce(lambda a, b: a & b, pairs))
         if self._updates is not None:
             writer = writer.whenMatched().update({c: _expression(v) for c, v in self._updates.items()})
         if self._inserts is not None:
@@ -138,6 +167,11 @@ class Upsert:
         writer.merge()
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; counting stops beyond that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def _expression(value: str | Column) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
@@ -163,6 +197,7 @@ def upsert(
     duplicates: str = "error",
     latest_by=(),
     with_actions: bool = False,
+    small_source: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` on ``keys``.
 
@@ -181,6 +216,7 @@ def upsert(
         .duplicates(duplicates, latest_by)
         .when_matched_update(updates)
         .when_not_matched_insert(inserts)
+        .small_source(small_source)
     )
     return merge.with_actions() if with_actions else merge.to_df()
 

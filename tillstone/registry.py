@@ -16,7 +16,7 @@ from tillstone.plans.calendar import calendar_spine, with_date_id
 from tillstone.schemas import DATASETS, DIM_STORE, Dataset
 from tillstone.session import new_workspace
 from tillstone.sources import landing, readers, retail_views
-from tillstone.sources.tables import TableStore
+from tillstone.sources.tables import TableStore, empty_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,14 +51,14 @@ def silver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The silver table after its first batch."""
     dataset = DATASETS[name]
     batch = silver.clean(raw(spark, sf_dir, name), dataset, DAY, DAY)
-    return silver.merge_silver(spark.createDataFrame([], dataset.silver), batch, dataset, DAY)
+    return silver.merge_silver(empty_table(spark, dataset.silver), batch, dataset, DAY)
 
 
 def gold_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The gold table after its first batch."""
     source = gold.GOLD[table].source
     rows = calendar(spark, sf_dir) if source == "calendar" else silver_table(spark, sf_dir, source)
-    return gold.merge_gold(table, spark.createDataFrame([], gold.GOLD[table].schema), gold.build_gold(table, rows)).to_df()
+    return gold.merge_gold(table, empty_table(spark, gold.GOLD[table].schema), gold.build_gold(table, rows)).to_df()
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstone.schemas import Dataset
+from tillstone.sources.readers import spread_small_scan
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -154,12 +155,10 @@ def first_batch_sql(name: str, table: str) -> str:
     return f"select * from {table} where transaction_date < '{FIRST_BATCH_UNTIL}'"
 
 
-def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
-
-
 def _run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    tables = {t: df for t, df in base_tables(spark, sf_dir).items() if "{" + t + "}" in text}
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if "{" + t + "}" in text}
+    if "lineitem" in tables and "min(" not in text:
+        tables["lineitem"] = spread_small_scan(tables["lineitem"])
     return spark.sql(text.replace('"order"', "`order`"), **tables)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstone.operators.upsert import ACTION, upsert
+from tillstone.operators.upsert import ACTION, fits, upsert
 
 PART = "part"
 WHOLE_TABLE = "all"
@@ -42,6 +42,11 @@ def month_part(column: str) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.substring(text, 1, 7)).otherwise(F.lit("other"))
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows under a contract; the zero limit lets the optimizer drop joins with it."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -58,7 +63,7 @@ class TableStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            return empty_table(self.spark, LOG_SCHEMA)
 
     def history(self, name: str, last: int | None = None) -> DataFrame:
         """Merges of a table, one row each, newest first."""
@@ -94,7 +99,7 @@ class TableStore:
         """Create the table empty unless it exists; True if it was created."""
         if self.exists(name):
             return False
-        empty = self.spark.createDataFrame([], schema).withColumn(PART, F.lit(WHOLE_TABLE))
+        empty = empty_table(self.spark, schema).withColumn(PART, F.lit(WHOLE_TABLE))
         empty.write.mode("overwrite").parquet(self._snapshot_path(name, 0))
         self._commit(name, 0, "CREATE TABLE", dict.fromkeys(("rows_inserted", "rows_updated", "rows_deleted"), 0), [WHOLE_TABLE])
         return True
@@ -113,7 +118,7 @@ class TableStore:
     def _read_parts(self, name: str, schema: T.StructType, current: dict[str, int]) -> DataFrame:
         paths = [f"{self._snapshot_path(name, s)}/{PART}={p}" for p, s in current.items() if s > 0]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         with_parts = T.StructType(
             [*schema.fields, T.StructField("snapshot", T.IntegerType()), T.StructField(PART, T.StringType())]
         )
@@ -142,13 +147,15 @@ class TableStore:
         update_cols=None,
         duplicates: str = "unique",
         parts_from: DataFrame | None = None,
+        small_source_rows: int | None = None,
     ) -> dict[str, int]:
         """Merge ``source`` into the table and commit; the metrics of the merge.
 
         ``part_column`` must belong to (or be derived from) the key, so that a
         row never moves to another month. ``parts_from`` may name a cheaper
         DataFrame with at least the months of ``source``, such as the rows
-        before deduplication.
+        before deduplication. A batch of at most ``small_source_rows`` rows is
+        broadcast, so that a large table is not shuffled for it.
         """
         self.ensure_table(name, schema)
         current = self._current(name)
@@ -158,7 +165,10 @@ class TableStore:
         else:
             touched = [WHOLE_TABLE]
         target = self._read_parts(name, schema, {p: s for p, s in current.items() if p in touched})
-        merged = upsert(target, source, keys, update_cols, overrides, duplicates, with_actions=True)
+        small = small_source_rows is not None and fits(source, small_source_rows)
+        merged = upsert(
+            target, source, keys, update_cols, overrides, duplicates, with_actions=True, small_source=small
+        )
         merged = merged.withColumn(PART, part())
         if part_column:
             merged = merged.hint("rebalance", F.col(PART))
