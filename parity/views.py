@@ -201,10 +201,10 @@ def present(columns) -> str:
     return " and ".join(f"{c} is not null" for c in columns)
 
 
-def first_of(relation: str, columns, keys, latest=(), where: str = "true") -> str:
+def first_of(relation: str, columns, keys, latest=(), where: str = "true", prefer: str = "true") -> str:
     """One row per key under the total order both engines use."""
     rest = [c for c in columns if c not in keys and c not in latest]
-    order = [f"{c} desc nulls last" for c in latest] + [f"{c} asc nulls last" for c in rest]
+    order = [f"({prefer}) desc"] + [f"{c} desc nulls last" for c in latest] + [f"{c} asc nulls last" for c in rest]
     ranked = f"row_number() over (partition by {', '.join(keys)} order by {', '.join(order)}) as rn"
     listed = ", ".join(columns)
     return f"select {listed} from (select {listed}, {ranked} from {relation} where {where}) where rn = 1"
@@ -245,7 +245,10 @@ for _name in STANDARD:
             present(MANDATORY[_name]),
         )
         _raw_listed = ", ".join(RAW_COLUMNS[_name])
-        _first = first_of(f"raw{_suffix}_{_name}", RAW_COLUMNS[_name], BRONZE_KEY[_name], (), present(BRONZE_KEY[_name]))
+        _filled = " and ".join(f"coalesce(trim({c}), '') <> ''" for c in MANDATORY[_name])
+        _first = first_of(
+            f"raw{_suffix}_{_name}", RAW_COLUMNS[_name], BRONZE_KEY[_name], (), present(BRONZE_KEY[_name]), _filled
+        )
         VIEWS[f"bronze{_suffix}_{_name}"] = f"select {_raw_listed}, {_day} as processing_date from ({_first})"
 
 # Gold ------------------------------------------------------------------------------------

@@ -61,7 +61,7 @@ def test_split_rejects_accounts_for_every_row(spark, rows):
 
 def test_incomplete_rows_never_beat_complete_ones(spark):
     df = spark.createDataFrame([(1, None, 99), (1, "a", 1)], SCHEMA)
-    kept = quality.keep_one(df, ["k"], ["day"], quality.all_present(["tag"]))
+    kept = quality.keep_complete(df, ["tag"], ["k"], ["day"])
     assert [tuple(r) for r in kept.collect()] == [(1, "a", 1)]
 
 

@@ -12,29 +12,23 @@ def _named(column: str) -> Column:
     return F.col(f"`{column}`")
 
 
-def keep_one(df: DataFrame, keys, latest_by=(), complete_if: Column | None = None) -> DataFrame:
+def keep_one(df: DataFrame, keys, latest_by=(), prefer: Column | None = None) -> DataFrame:
     """One row per key (NULL keys group together), chosen by a total order.
 
-    ``latest_by`` columns decide first, newest wins; all remaining columns
-    break ties, so the survivor is the same on every run. The ``rn = 1``
-    filter lets Spark keep one row per key *before* the shuffle, so a key
-    with a huge number of copies reaches its reducer as one row per map task.
-
-    With ``complete_if`` only rows that meet the condition can survive. They
-    sort first and the rest goes after the window: a filter below it would
-    be pushed through the projection and parse every column a second time.
+    Rows that meet ``prefer`` come first, then the newest by the
+    ``latest_by`` columns; all remaining columns break ties, so the survivor
+    is the same on every run. The ``rn = 1`` filter lets Spark keep one row
+    per key *before* the shuffle, so a key with a huge number of copies
+    reaches its reducer as one row per map task.
     """
     rest = [c for c in df.columns if c not in keys and c not in latest_by]
     order = [_named(c).desc_nulls_last() for c in latest_by] + [_named(c).asc_nulls_last() for c in rest]
-    flagged = df
-    if complete_if is not None:
-        flagged = df.withColumn("_complete", complete_if)
-        order.insert(0, F.col("_complete").desc_nulls_last())
+    if prefer is not None:
+        order.insert(0, prefer.desc_nulls_last())
     if not order:
         return df.dropDuplicates(list(keys))
     window = Window.partitionBy(*[_named(k) for k in keys]).orderBy(*order)
-    first = flagged.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
-    return first if complete_if is None else first.filter("_complete").drop("_complete")
+    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
 def losers(df: DataFrame, survivors: DataFrame) -> DataFrame:
@@ -59,6 +53,16 @@ def require_not_null(df: DataFrame, columns) -> DataFrame:
     return df.filter(all_present(columns))
 
 
+def keep_complete(df: DataFrame, mandatory, keys, latest_by=()) -> DataFrame:
+    """One row per key among the rows that have all mandatory columns.
+
+    Complete rows are preferred and the check comes after the window: below
+    it, the filter would be pushed through the projection that parses the
+    columns and every one of them would be parsed twice.
+    """
+    return require_not_null(keep_one(df, keys, latest_by, all_present(mandatory)), mandatory)
+
+
 def failed_columns(columns) -> Column:
     """Comma-separated names of the mandatory columns that are NULL."""
     return F.concat_ws(",", *[F.when(_named(c).isNull(), F.lit(c)) for c in columns])
@@ -66,7 +70,7 @@ def failed_columns(columns) -> Column:
 
 def split_rejects(df: DataFrame, mandatory, keys, latest_by=()) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and a log of every other row with the rule it failed and its copies."""
-    valid = keep_one(df, keys, latest_by, all_present(mandatory))
+    valid = keep_complete(df, mandatory, keys, latest_by)
     missing = failed_columns(mandatory)
     rule = F.when(missing != "", F.concat(F.lit("null:"), missing)).otherwise(F.lit("duplicate:" + ",".join(keys)))
     return valid, losers(df, valid).withColumn("rule", rule)

@@ -7,6 +7,7 @@ the date and number rules can still see what was delivered.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,9 @@ def keyed_rows(landing: DataFrame, dataset: Dataset) -> DataFrame:
 
 
 def bronze_batch(landing: DataFrame, dataset: Dataset, day: date) -> DataFrame:
-    return stamp_processing_date(keep_one(keyed_rows(landing, dataset), dataset.natural_key), day)
+    """One row per natural key, one that silver can use if there is any."""
+    filled = reduce(lambda a, b: a & b, [F.coalesce(F.trim(f"`{c}`") != "", F.lit(False)) for c in dataset.mandatory])
+    return stamp_processing_date(keep_one(keyed_rows(landing, dataset), dataset.natural_key, prefer=filled), day)
 
 
 def merge_bronze(target: DataFrame, batch: DataFrame, dataset: Dataset, day: date) -> DataFrame:

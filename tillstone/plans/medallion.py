@@ -80,10 +80,15 @@ def load_calendars(spark: SparkSession, batch: Batch, calendar: DataFrame) -> di
     }
 
 
-def run_batch(spark: SparkSession, batch: Batch, calendar: DataFrame | None = None) -> dict[str, dict[str, int]]:
-    """Run a batch; merge metrics per table. Datasets without data in this batch are skipped."""
+def run_batch(
+    spark: SparkSession, batch: Batch, calendar: DataFrame | None = None, names=None
+) -> dict[str, dict[str, int]]:
+    """Run a batch of the named datasets (all by default); merge metrics per table.
+
+    Datasets without data in this batch are skipped.
+    """
     landed = ingest_batch_all(
-        spark, batch.raw_root, batch.landing_root, batch.batch_month, batch.processing_date
+        spark, batch.raw_root, batch.landing_root, batch.batch_month, batch.processing_date, names
     )
     metrics: dict[str, dict[str, int]] = {}
     for dataset in (DATASETS[name] for name, has_data in landed.items() if has_data):

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tillstone.functions import casts, keys, rules
 from tillstone.functions.enrich import REFERENCE_DATE
 from tillstone.operators.projection import drop_helper_columns, lowercase_headers, project_contract, trim_all
-from tillstone.operators.quality import all_present, keep_one, split_rejects
+from tillstone.operators.quality import keep_complete, split_rejects
 from tillstone.operators.upsert import upsert
 from tillstone.schemas import DATASETS, Dataset
 
@@ -93,7 +93,7 @@ def _key_columns(dataset: Dataset) -> dict[str, Column]:
 def clean(raw: DataFrame, dataset: Dataset, processing_date: date = REFERENCE_DATE, as_of: date | None = None) -> DataFrame:
     """The batch as it goes into the merge: standardised, complete, one row per merge key."""
     standard = standardise(raw, dataset, processing_date, as_of)
-    valid = keep_one(standard, dataset.silver_key, dataset.latest_by, all_present(dataset.mandatory))
+    valid = keep_complete(standard, dataset.mandatory, dataset.silver_key, dataset.latest_by)
     return project_contract(valid, dataset.silver)
 
 

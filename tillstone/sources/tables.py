@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +20,7 @@ from tillstone.operators.upsert import ACTION, fits, upsert
 
 PART = "part"
 WHOLE_TABLE = "all"
+COUNTS = ("rows_inserted", "rows_updated", "rows_deleted")
 
 LOG_SCHEMA = T.StructType(
     [
@@ -28,9 +28,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("snapshot", T.IntegerType()),
         T.StructField(PART, T.StringType()),
         T.StructField("operation", T.StringType()),
-        T.StructField("rows_inserted", T.LongType()),
-        T.StructField("rows_updated", T.LongType()),
-        T.StructField("rows_deleted", T.LongType()),
+        *[T.StructField(c, T.LongType()) for c in COUNTS],
         T.StructField("committed_at", T.TimestampType()),
     ]
 )
@@ -51,6 +49,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        empty_table(spark, LOG_SCHEMA).write.mode("ignore").parquet(self._log_path)
 
     @property
     def _log_path(self) -> str:
@@ -58,12 +57,7 @@ class TableStore:
 
     def log(self) -> DataFrame:
         """Every commit of every table."""
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return empty_table(self.spark, LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path)
 
     def history(self, name: str, last: int | None = None) -> DataFrame:
         """Merges of a table, one row each, newest first."""
@@ -71,12 +65,7 @@ class TableStore:
             self.log()
             .filter(F.col("table_name") == name)
             .groupBy("table_name", "snapshot", "operation")
-            .agg(
-                F.sum("rows_inserted").alias("rows_inserted"),
-                F.sum("rows_updated").alias("rows_updated"),
-                F.sum("rows_deleted").alias("rows_deleted"),
-                F.max("committed_at").alias("committed_at"),
-            )
+            .agg(*[F.sum(c).alias(c) for c in COUNTS], F.max("committed_at").alias("committed_at"))
             .orderBy(F.col("snapshot").desc())
         )
         return per_merge if last is None else per_merge.limit(last)
@@ -99,10 +88,13 @@ class TableStore:
         """Create the table empty unless it exists; True if it was created."""
         if self.exists(name):
             return False
+        self._create(name, schema)
+        return True
+
+    def _create(self, name: str, schema: T.StructType) -> None:
         empty = empty_table(self.spark, schema).withColumn(PART, F.lit(WHOLE_TABLE))
         empty.write.mode("overwrite").parquet(self._snapshot_path(name, 0))
-        self._commit(name, 0, "CREATE TABLE", dict.fromkeys(("rows_inserted", "rows_updated", "rows_deleted"), 0), [WHOLE_TABLE])
-        return True
+        self._commit(name, 0, "CREATE TABLE", dict.fromkeys(COUNTS, 0), [WHOLE_TABLE])
 
     def _snapshot_path(self, name: str, snapshot: int) -> str:
         return f"{self.root}/{name}/snapshot={snapshot}"
@@ -110,7 +102,7 @@ class TableStore:
     def _commit(self, name: str, snapshot: int, operation: str, metrics: dict[str, int], parts: list[str]) -> None:
         """Log the parts of a snapshot; the counts go on the first row. A merge that wrote nothing is not logged."""
         now = datetime.now(timezone.utc)
-        counts = [metrics[c] for c in ("rows_inserted", "rows_updated", "rows_deleted")]
+        counts = [metrics[c] for c in COUNTS]
         rows = [(name, snapshot, p, operation, *(counts if p == parts[0] else (0, 0, 0)), now) for p in parts]
         if rows:
             self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log_path)
@@ -157,8 +149,10 @@ class TableStore:
         before deduplication. A batch of at most ``small_source_rows`` rows is
         broadcast, so that a large table is not shuffled for it.
         """
-        self.ensure_table(name, schema)
         current = self._current(name)
+        if not current:
+            self._create(name, schema)
+            current = {WHOLE_TABLE: 0}
         part: Callable[[], Column] = (lambda: month_part(part_column)) if part_column else (lambda: F.lit(WHOLE_TABLE))
         if part_column:
             touched = sorted(r[PART] for r in (source if parts_from is None else parts_from).select(part().alias(PART)).distinct().collect())
