@@ -98,7 +98,9 @@ def test_references(spark):
     parent = spark.createDataFrame([(3,), (5,), (None,)], "store_id int")
     assert [r["id"] for r in quality.orphans(child, parent, "store", "store_id").orderBy("id").collect()] == [2, 3]
     assert [r["id"] for r in quality.with_parent(child, parent, "store", "store_id").collect()] == [1]
-    assert [tuple(r) for r in quality.orphan_keys(child, parent, "store", "store_id").collect()] == [(4, 2)]
+    references = [("store", parent, "store_id", "to store"), ("id", parent, "store_id", "by id")]
+    report = {(r["relation"], r["orphan_key"]): r["n_rows"] for r in quality.orphan_keys(child, references).collect()}
+    assert report == {("to store", "4"): 2, ("by id", "1"): 1, ("by id", "2"): 1, ("by id", "4"): 1}
 
 
 def test_repeated_keys(spark):

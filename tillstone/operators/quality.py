@@ -110,10 +110,29 @@ def with_parent(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     return child.join(known, child[f"`{child_key}`"] == known["_parent"], "left_semi")
 
 
-def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Missing keys with their row counts; counting first keeps hot keys out of the join."""
-    counted = child.groupBy(_named(child_key).alias("orphan_key")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return orphans(counted, parent, "orphan_key", parent_key)
+def orphan_keys(child: DataFrame, references) -> DataFrame:
+    """Keys missing in their parents, with row counts, for all references of a child in one scan.
+
+    ``references`` are ``(child_key, parent, parent_key, label)``. Counting
+    comes first: a hot key is one row by the time it meets its parent.
+    """
+    pairs = F.array(
+        *[
+            F.struct(F.lit(label).alias("relation"), _named(key).cast("string").alias("orphan_key"))
+            for key, _, _, label in references
+        ]
+    )
+    counted = (
+        child.select(F.inline(pairs))
+        .filter("orphan_key is not null")
+        .groupBy("relation", "orphan_key")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    known = [
+        parent.select(F.lit(label).alias("relation"), _named(parent_key).cast("string").alias("orphan_key"))
+        for _, parent, parent_key, label in references
+    ]
+    return counted.join(reduce(DataFrame.unionByName, known), ["relation", "orphan_key"], "left_anti")
 
 
 def repeated_keys(df: DataFrame, keys) -> DataFrame:

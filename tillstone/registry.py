@@ -375,21 +375,23 @@ def dq_audit(spark, sf_dir):
 def check_referential_integrity(spark, sf_dir):
     """Keys of employees, sales and inventory that their dimension does not have."""
     dims = {name: silver_table(spark, sf_dir, name) for name in ("store", "product", "customer", "employee")}
-    checks = (
-        ("employee", "location", "store", "store_id"),
-        ("sales", "product_id", "product", "product_id"),
-        ("sales", "customer_id", "customer", "customer_id"),
-        ("sales", "staff_id", "employee", "staff_id"),
-        ("sales", "store_id", "store", "store_id"),
-        ("food_inventory", "product_id", "product", "product_id"),
-        ("food_inventory", "store_id", "store", "store_id"),
-    )
+    checks = {
+        "employee": {"location": ("store", "store_id")},
+        "sales": {
+            "product_id": ("product", "product_id"),
+            "customer_id": ("customer", "customer_id"),
+            "staff_id": ("employee", "staff_id"),
+            "store_id": ("store", "store_id"),
+        },
+        "food_inventory": {"product_id": ("product", "product_id"), "store_id": ("store", "store_id")},
+    }
     found = []
-    for child, child_key, parent, parent_key in checks:
-        rows = raw(spark, sf_dir, child).select(F.trim(child_key).alias(child_key))
-        known = dims[parent].select(F.col(parent_key).cast("string").alias(parent_key))
-        missing = quality.orphan_keys(rows, known, child_key, parent_key)
-        found.append(missing.withColumn("relation", F.lit(f"{child}.{child_key} -> {parent}")))
+    for child, parents in checks.items():
+        rows = raw(spark, sf_dir, child).select(*[F.trim(key).alias(key) for key in parents])
+        references = [
+            (key, dims[parent], parent_key, f"{child}.{key} -> {parent}") for key, (parent, parent_key) in parents.items()
+        ]
+        found.append(quality.orphan_keys(rows, references))
     return _union(found)
 
 
