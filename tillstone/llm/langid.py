@@ -39,7 +39,9 @@ class Field:
 
 def letters(text: str | None) -> list[str]:
     """The words of a text, in lower case: runs of letters."""
-    return [w for w in WORD.findall((text or "").lower()) if w.isalpha()]
+    words = WORD.findall((text or "").lower())
+    # Superscripts and the like count as word characters, but not as letters.
+    return [p for w in words for p in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 def features(word: str, size: int) -> list[int]:

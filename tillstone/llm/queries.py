@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstone.llm import langid, minhash, mixing, quality, templates, tiling, tokens
+from tillstone.llm import archives, langid, minhash, mixing, quality, secrets, templates, tiling, tokens, urls
 from tillstone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +18,12 @@ def over(name: str, operator: Callable[..., DataFrame], *others: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secrets": over("documents", secrets.op1),
     "op2_token_counts": over("documents", tokens.op2),
+    "op3_url_filter": over("pages", urls.op3),
     "op4_line_dedup": over("documents", templates.op4),
     "op5_quality_rules": over("documents", quality.op5),
+    "op6_archives": over("pages", archives.op6),
     "op7_minhash": over("documents", minhash.op7),
     "op8_language": over("documents", langid.op8),
     "op9_mixing": over("documents", mixing.op9),
