@@ -40,7 +40,7 @@ class Counting:
     model: str = public_tokenizers.path("piece_bpe_32k.model")
     chunk: int = 16_384
     limit: int = 4096
-    states: int = 100_000
+    states: int = 200_000
     units: int = 300_000
 
 
@@ -98,9 +98,11 @@ class Transducer:
         key = (before or "", token)
         fits = self.fits.get(key)
         if fits is None:
-            if len(self.fits) > 4 * self.how.units:
+            if len(self.fits) > 2 * self.how.units:
                 self.fits.clear()
-            fits = self.fits[key] = self.merged("".join(key)) == [t for t in key if t]
+            # A piece that merging does not give by itself never comes after another one either.
+            able = before is None or self.adjacent(None, token)
+            fits = self.fits[key] = able and self.merged("".join(key)) == [t for t in key if t]
         return fits
 
     def weight(self, token: str) -> int:
