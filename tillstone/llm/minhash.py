@@ -32,7 +32,10 @@ class MinHash:
     bands: int = 48
     rows: int = 6
     slack: float = 0.12
-    rounds: int = 3
+    rounds: int = 2
+    #: Members and shingles of a block when what pivots have left apart is compared block by block.
+    block: int = 1024
+    block_shingles: int = 400_000
 
 
 class WordHashes(dict):
@@ -191,48 +194,98 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, how: MinHash) -> DataFram
     marks = sketch.select("id", "marks")
     parts = none.select(F.col("id").alias("node"), F.col("id").alias("component"))
     links = tested = none.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    turn = 0
-    while turn <= how.rounds:
-        pairs = candidates(members, parts, turn, turn == how.rounds).join(tested, ["a", "b"], "left_anti")
+    for turn in range(how.rounds):
+        pairs = candidates(members, parts, turn).join(tested, ["a", "b"], "left_anti")
         pairs = pairs.filter(100 * F.col("few") >= how.similar_pct * F.col("many")).select("a", "b", "id").distinct()
         likely = settle(estimate(with_both(pairs.select("a", "b").distinct(), marks, "marks"), how), "minhash-likely")
-        if turn < how.rounds:
-            # The best pair of each member will do: its other links are mostly within the part it joins by that.
-            best = likely.join(pairs, ["a", "b"]).groupBy("id").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p"))
-            likely = settle(best.select("p.a", "p.b").distinct(), "minhash-checked")
-        likely = likely.select("a", "b")
+        # The best pair of each member will do: its other links are mostly within the part it joins by that.
+        best = likely.join(pairs, ["a", "b"]).groupBy("id").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p"))
+        likely = settle(best.select("p.a", "p.b").distinct(), "minhash-checked")
         found = settle(confirm(with_both(likely, sets.withColumnRenamed("shingles", "set"), "set"), how), "minhash-found")
         if found.isEmpty():
-            # No pivot has brought anything together: on to the pairs that are left.
-            turn = how.rounds if turn < how.rounds else turn + 1
-        else:
-            turn += 1
-            links = links.union(found)
-            parts = settle(components(links), "minhash-parts")
-        tested = settle(tested.union(likely), "minhash-tested")
-    return parts
+            break
+        links = links.union(found)
+        parts = settle(components(links), "minhash-parts")
+        tested = tested.union(likely)
+    found = settle(across(members, parts, marks.join(sets.withColumnRenamed("id", "s"), F.col("id") == F.col("s")).drop("s"), how), "minhash-found")
+    return parts if found.isEmpty() else settle(components(links.union(found)), "minhash-parts")
 
 
-def candidates(members: DataFrame, parts: DataFrame, turn: int, all_across: bool) -> DataFrame:
-    """(a, b, few, many, id): pairs that share a bucket and lie in different parts.
+def with_parts(members: DataFrame, parts: DataFrame) -> DataFrame:
+    return members.join(parts, F.col("id") == F.col("node"), "left").select(
+        "bucket", "id", "n", F.coalesce("component", "id").alias("part")
+    )
+
+
+def across(members: DataFrame, parts: DataFrame, sketches: DataFrame, how: MinHash) -> DataFrame:
+    """Links (a, b) between parts that still share a bucket.
 
-    With the pivot of each bucket (another one each turn), or all of them. The
-    latter are the pairs across the parts of a bucket, never those within one.
+    Parts that share buckets are a family. A family is cut into blocks of
+    bounded size, and each two blocks meet in a task, which returns no more
+    links than it has parts to join. A bucket of two has been settled by its pivot.
     """
-    apart = members.join(parts, F.col("id") == F.col("node"), "left").select(
-        "bucket", "id", "n", F.coalesce("component", "id").alias("part")
+    apart = with_parts(members, parts)
+    mixed = apart.groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
+    mixed = settle(mixed.filter("size > 2 and low < high").select("k", "low"), "minhash-mixed")
+    apart = settle(apart.join(mixed, F.col("bucket") == F.col("k")).select("id", "n", "part", "low").distinct(), "minhash-apart")
+    families = settle(components(apart.select(F.col("part").alias("a"), F.col("low").alias("b"))), "minhash-families")
+    placed = apart.select("id", "n", "part").distinct().join(families, F.col("part") == F.col("node")).drop("node")
+    sizes = placed.groupBy(F.col("component").alias("family")).agg(
+        F.greatest(F.ceil(F.count("*") / how.block), F.ceil(F.sum("n") / how.block_shingles)).alias("blocks")
+    )
+    placed = placed.join(settle(sizes, "minhash-family-sizes"), F.col("component") == F.col("family")).drop("component")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    full = placed.join(sketches.withColumnRenamed("id", "s"), F.col("id") == F.col("s")).drop("s")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    meeting = full.withColumn("other", other).select(
+        "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "part", "marks", "shingles"
     )
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id")
+        ids, block, part = (rows[c].to_numpy() for c in ("id", "block", "part"))
+        marks = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(rows), -1)
+        sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+        sizes = np.array([len(x) for x in sets])
+        alone = rows["i"].iloc[0] == rows["j"].iloc[0]
+        joined = {p: p for p in part}
+
+        def root(p: int) -> int:
+            while joined[p] != p:
+                joined[p] = p = joined[joined[p]]
+            return p
+
+        links = []
+        for x in range(len(ids)):
+            rest = slice(x + 1, None)
+            near = (100 * np.minimum(sizes[x], sizes[rest]) >= how.similar_pct * np.maximum(sizes[x], sizes[rest])) & (part[rest] != part[x])
+            if not alone:
+                near &= block[rest] != block[x]
+            at = x + 1 + np.flatnonzero(near)
+            if not len(at):
+                continue
+            est = ((marks[at] == marks[x]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+            for y in at[est >= how.similar_pct / 100 - how.slack]:
+                if root(part[x]) != root(part[y]):
+                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if 100 * both >= how.similar_pct * (sizes[x] + sizes[y] - both):
+                        joined[root(part[x])] = root(part[y])
+                        links.append((ids[x], ids[y]))
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    return meeting.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def candidates(members: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """(a, b, few, many, id): each member with the pivot of its bucket, another one each turn, if it lies in another part."""
+    apart = with_parts(members, parts)
     pivot = F.min_by(F.struct("id", "n", "part"), F.xxhash64("id", F.lit(turn)) if turn else F.col("id"))
     mixed = apart.groupBy(F.col("bucket").alias("k")).agg(
         F.min("part").alias("low"), F.max("part").alias("high"), pivot.alias("pivot")
     )
     mixed = settle(mixed.filter("low < high").select("k", "pivot.*"), "minhash-mixed")
-    apart = apart.join(mixed.select("k", *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "part")]), F.col("bucket") == F.col("k"))
-    if all_across:
-        other = [F.col("bucket").alias("o"), *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "part")]]
-        apart = apart.drop("k", "o_id", "o_n", "o_part")
-        apart = apart.join(apart.select(*other), (F.col("bucket") == F.col("o")) & (F.col("id") < F.col("o_id")))
-    return apart.filter("part <> o_part").select(
+    mixed = mixed.select("k", *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "part")])
+    return apart.join(mixed, F.col("bucket") == F.col("k")).filter("part <> o_part").select(
         F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"),
         F.least("n", "o_n").alias("few"), F.greatest("n", "o_n").alias("many"), "id",
     )
