@@ -73,10 +73,10 @@ def strip_lines(docs: DataFrame, hits: DataFrame, counted: str | None = None) ->
     of its lines, from 0, in ``lines``. Documents without a hit pass unchanged.
     ``n_chars`` follows the text where the table has it.
     """
-    key, gone, found = (spare(docs.columns, n) for n in ("text_hash", "gone_lines", "found_id"))
-    hits = hits.select(F.col("doc_id").alias(found), F.col("text_hash").alias(key + "_hit"), F.col("lines").alias(gone))
+    key, hit, gone, found = (spare(docs.columns, n) for n in ("text_hash", "hit_hash", "gone_lines", "found_id"))
+    hits = hits.select(F.col("doc_id").alias(found), F.col("text_hash").alias(hit), F.col("lines").alias(gone))
     joined = docs.withColumn(key, F.xxhash64("text")).join(
-        hits, same(F.col("doc_id"), F.col(found)) & (F.col(key) == F.col(key + "_hit")), "left"
+        hits, same(F.col("doc_id"), F.col(found)) & (F.col(key) == F.col(hit)), "left"
     )
     kept = let(
         F.split("text", "\n"),

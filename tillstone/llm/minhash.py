@@ -160,7 +160,7 @@ def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     rows = settle(digests(docs, how), "minhash-rows")
     classes = rows.filter("digest is not null").groupBy(F.col("digest").alias("c_digest")).agg(F.min("row").alias("id"), F.min("doc_id").alias("least_id"))
     classes = settle(classes, "minhash-classes")
-    sketch = rows.join(classes.select("id"), F.col("row") == F.col("id")).select("id", "doc_id", "text_hash", "n", "marks", "bands")
+    sketch = rows.join(classes.select("id").hint("merge"), F.col("row") == F.col("id")).select("id", "doc_id", "text_hash", "n", "marks", "bands")
     sketch = settle(sketch, "minhash-sketches")
     parts = settle(linked_classes(docs, sketch, how), "minhash-parts")
     # Class -> component -> the smallest doc_id among the component's classes.
@@ -184,12 +184,12 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, how: MinHash) -> DataFram
     none = docs.sparkSession.range(0)
     members = sketch.select("id", "n", F.explode("bands").alias("bucket"))
     busy = members.groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("size")).filter("size > 1")
-    members = members.join(settle(busy.select("k"), "minhash-busy"), F.col("bucket") == F.col("k")).drop("k")
+    members = members.join(settle(busy.select("k"), "minhash-busy").hint("merge"), F.col("bucket") == F.col("k")).drop("k")
     members = settle(members, "minhash-members")
     wanted = sketch.join(members.select(F.col("id").alias("w")).distinct(), F.col("id") == F.col("w"), "left_semi")
     wanted = wanted.select("id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("w_id"), F.col("text_hash").alias("w_text"))
     texts = docs.select(*text_key(), F.col("text").cast("binary").alias("text"))
-    texts = texts.join(settle(wanted, "minhash-wanted"), (F.col("k_id") == F.col("w_id")) & (F.col("k_text") == F.col("w_text")))
+    texts = texts.join(settle(wanted, "minhash-wanted").hint("merge"), (F.col("k_id") == F.col("w_id")) & (F.col("k_text") == F.col("w_text")))
     sets = settle(shingle_sets(texts.dropDuplicates(["k_id", "k_text"]).select("id", "text"), how), "minhash-sets")
     marks = sketch.select("id", "marks")
     parts = none.select(F.col("id").alias("node"), F.col("id").alias("component"))

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import settle
+from tillstone.llm.common import settle, spare
 
 #: Lower case for A-Z, a blank for every other ASCII character that is no letter or digit; bytes above stay.
 PLAIN = bytes(
@@ -195,9 +195,10 @@ def tiler(rows: list[tuple], how: Tiling):
 
 def clean(docs: DataFrame, items: DataFrame, how: Tiling = Tiling()) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    bad = overlaps(docs, items, how).filter(F.size("leaks") > 0).select(F.col("doc_id").alias("b_id"), F.col("text_hash").alias("b_text"))
+    b_id, b_text = (spare(docs.columns, n) for n in ("b_id", "b_text"))
+    bad = overlaps(docs, items, how).filter(F.size("leaks") > 0).select(F.col("doc_id").alias(b_id), F.col("text_hash").alias(b_text))
     bad = settle(bad.distinct(), "tiling-leaks")
-    from_bad = F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.xxhash64("text") == F.col("b_text"))
+    from_bad = F.col("doc_id").eqNullSafe(F.col(b_id)) & (F.xxhash64("text") == F.col(b_text))
     return docs.join(bad, from_bad, "left_anti")
 
 
