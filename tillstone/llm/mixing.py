@@ -68,9 +68,11 @@ def sainte_lague(parties: DataFrame, group: list[str], votes: str, seats: str, t
     quotient = F.when(F.col("gap") > 0, -v / (2 * (F.col("first_quota") + F.col("k")) - 1)).otherwise(
         v / (2 * (F.col("first_quota") - F.col("k") + 1) - 1)
     )
-    order = [F.col("k") == 0, F.col("quotient"), *[F.col(t).asc_nulls_last() for t in tie], F.col("k")]
+    # Of equal quotients the first in order wins a seat, and so the last one loses it.
+    order = [F.col("k") == 0, F.col("quotient"), F.when(F.col("gap") < 0, -F.col("place")).otherwise(F.col("place")), F.col("k")]
     return (
-        parties.withColumn("all_votes", F.sum(v).over(whole))
+        parties.withColumn("place", F.row_number().over(whole.orderBy(*[F.col(t).asc_nulls_last() for t in tie])))
+        .withColumn("all_votes", F.sum(v).over(whole))
         .withColumn("n_parties", F.count("*").over(whole))
         .withColumn("first_quota", F.when(total > 0, F.floor(v * F.col(seats) / total + 0.5)).otherwise(0).cast("long"))
         .withColumn("gap", F.when(total > 0, F.col(seats) - F.sum("first_quota").over(whole)).otherwise(0))
