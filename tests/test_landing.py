@@ -56,11 +56,3 @@ def test_missing_columns_are_null(spark, lake):
     spark.createDataFrame([("3",)], "STORE_ID string").write.parquet(f"{lake}/p")
     row = readers.scan_parquet_schema(spark, f"{lake}/p", dataset.raw_schema).collect()[0]
     assert row["store_id"] == "3" and row["manager"] is None
-
-
-def test_small_scan_is_spread(spark, lake):
-    spark.range(100).coalesce(1).write.parquet(f"{lake}/one")
-    df = readers.spread_small_scan(spark.read.parquet(f"{lake}/one"))
-    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 50)
-    assert readers.spread_small_scan(many) is many

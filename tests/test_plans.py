@@ -49,12 +49,7 @@ def test_facts_are_added_up_before_they_meet_a_dimension(spark):
     assert "partial_sum" in plan[join:] and "HashAggregate(keys=[customer_id" in plan[join:]
 
 
-def test_small_batches_do_not_shuffle_the_table(spark, lake):
-    from tillstone.operators.upsert import upsert
-
-    spark.range(1000).selectExpr("id as k", "id as v").write.parquet(f"{lake}/t")
-    target = spark.read.parquet(f"{lake}/t")
-    source = spark.range(900, 1010).selectExpr("id as k", "-id as v")
-    merged = upsert(target, source, ["k"], duplicates="unique", small_source=True)
-    assert "Exchange hashpartitioning" not in _plan(merged)
-    assert merged.count() == 1010
+def test_calendar_bounds_scan_each_table_once(spark):
+    from tillstone.sources.retail_views import calendar_bounds
+
+    assert _plan(calendar_bounds(spark, SF)).count("FileScan parquet") == 2

@@ -89,11 +89,10 @@ def test_empty_batch_and_wider_parts(spark, lake):
     assert store.read("facts", FACT).count() == 2
 
 
-@pytest.mark.parametrize("small", [None, 1, 100])
-def test_whole_table_merge(spark, lake, small):
+def test_whole_table_merge(spark, lake):
     store = TableStore(spark, lake)
     for n in (1, 2):
-        store.upsert("dim", FACT, _fact(spark, [(n, None, 1), (5, None, n)]), ("id",), small_source_rows=small)
+        store.upsert("dim", FACT, _fact(spark, [(n, None, 1), (5, None, n)]), ("id",))
     assert _rows(store.read("dim", FACT)) == Counter([(1, None, 1, MARCH), (2, None, 1, MARCH), (5, None, 2, MARCH)])
 
 
@@ -101,5 +100,5 @@ def test_repeated_key_is_refused(spark, lake):
     store = TableStore(spark, lake)
     twice = _fact(spark, [(1, date(2019, 1, 5), 1), (1, date(2019, 1, 5), 2)])
     with pytest.raises(Exception, match="several source rows"):
-        _merge(store, twice, duplicates="error")
+        _merge(store, twice)
     assert store.read("facts", FACT).count() == 0

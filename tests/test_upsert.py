@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tillstone.operators.upsert import ACTION, Upsert, fits, merge_metrics, upsert
+from tillstone.operators.upsert import ACTION, Upsert, merge_metrics, upsert
 
 SMALL = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 SCHEMA = "k int, a string, b int"
@@ -23,15 +23,15 @@ def _rows(df):
 
 
 @SMALL
-@given(TABLES, TABLES, st.booleans())
-def test_upsert_properties(spark, target, source, small):
+@given(TABLES, TABLES)
+def test_upsert_properties(spark, target, source):
     before, batch = _df(spark, target), _df(spark, source)
-    merged = upsert(before, batch, ["k"], small_source=small)
+    merged = upsert(before, batch, ["k"])
     expected = {**target, **source}
     assert _rows(merged) == Counter((k, *v) for k, v in expected.items())
     # Once more changes nothing.
-    assert _rows(upsert(merged, batch, ["k"], small_source=small)) == _rows(merged)
-    metrics = merge_metrics(upsert(before, batch, ["k"], with_actions=True, small_source=small)).collect()[0]
+    assert _rows(upsert(merged, batch, ["k"])) == _rows(merged)
+    metrics = merge_metrics(upsert(before, batch, ["k"], with_actions=True)).collect()[0]
     assert metrics["rows_inserted"] + metrics["rows_updated"] == len(source) == metrics["rows_affected"]
     assert metrics["total_rows"] == len(target) + metrics["rows_inserted"]
     assert metrics["rows_deleted"] == 0
@@ -42,40 +42,35 @@ def test_null_values_of_the_source_are_taken_over(spark):
     assert _rows(merged) == Counter([(1, None, None)])
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_repeated_source_key_fails(spark, small):
+def test_repeated_source_key_fails(spark):
     source = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "z", 3)], SCHEMA)
     with pytest.raises(Exception, match="several source rows for one key"):
-        upsert(_df(spark, {1: ("o", 0)}), source, ["k"], small_source=small).collect()
+        upsert(_df(spark, {1: ("o", 0)}), source, ["k"]).collect()
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_latest_source_row_wins(spark, small):
+def test_latest_source_row_wins(spark):
     source = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "z", 3), (2, "q", None)], SCHEMA)
     merged = upsert(
-        _df(spark, {1: ("o", 0)}), source, ["k"], duplicates="latest", latest_by=["b"], small_source=small
+        _df(spark, {1: ("o", 0)}), source, ["k"], duplicates="latest", latest_by=["b"]
     )
     assert _rows(merged) == Counter([(1, "y", 2), (2, "z", 3)])
 
 
-@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("policy", ["error", "latest", "unique"])
-def test_null_keys_match_nothing(spark, policy, small):
+def test_null_keys_match_nothing(spark, policy):
     target = spark.createDataFrame([(None, "old", 1), (1, "x", 1)], SCHEMA)
     source = spark.createDataFrame([(None, "new", 2), (1, "y", 2)], SCHEMA)
-    merged = upsert(target, source, ["k"], duplicates=policy, small_source=small)
+    merged = upsert(target, source, ["k"], duplicates=policy)
     assert _rows(merged) == Counter([(None, "old", 1), (None, "new", 2), (1, "y", 2)])
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_update_columns_and_overrides(spark, small):
+def test_update_columns_and_overrides(spark):
     merged = upsert(
         _df(spark, {1: ("x", 1), 2: ("x", 1)}),
         _df(spark, {2: ("y", 2), 3: ("y", 2)}),
         ["k"],
         update_cols=["a"],
         overrides={"b": F.lit(9)},
-        small_source=small,
     )
     assert _rows(merged) == Counter([(1, "x", 1), (2, "y", 9), (3, "y", 9)])
 
@@ -86,12 +81,11 @@ def test_composite_key(spark):
     assert _rows(upsert(target, source, ["k", "a"])) == Counter([(1, "x", 1), (1, "y", 2), (2, "y", 2)])
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_builder_clauses(spark, small):
+def test_builder_clauses(spark):
     target, source = _df(spark, {1: ("x", 1)}), _df(spark, {1: ("y", 2), 2: ("z", 3)})
 
     def merge():
-        return Upsert(target).using(source).on("k").small_source(small)
+        return Upsert(target).using(source).on("k")
 
     maps = merge().when_matched_update({"b": "source.b + target.b"}).when_not_matched_insert({"k": "source.k", "a": "'new'"})
     assert _rows(maps.to_df()) == Counter([(1, "x", 3), (2, "new", None)])
@@ -114,8 +108,3 @@ def test_catalog_merge_is_delegated(spark):
     merge = Upsert(spark.table("plain_target")).using(_df(spark, {1: ("y", 2)})).on("k").when_matched_update()
     with pytest.raises(Exception, match="(?i)merge|unsupported|not support"):
         merge.into_catalog_table("plain_target")
-
-
-def test_fits(spark):
-    assert fits(spark.range(5), 5)
-    assert not fits(spark.range(6), 5)

@@ -1,9 +1,7 @@
 """Keyed upserts: update the rows that match, insert the others, delete nothing.
 
-An upsert is one full outer join on the key, which shuffles both sides. For a
-batch that is known to be small there is a second form that broadcasts the
-batch and leaves the table where it is. Marker columns keep "no source row"
-and "source value is NULL" apart. A NULL key matches nothing: require the key
+An upsert is one full outer join on the key, the same plan for a batch of any
+size. Marker columns keep "no source row" and "source value is NULL" apart. A NULL key matches nothing: require the key
 first if reruns must not insert it again.
 """
 
@@ -38,7 +36,6 @@ class Upsert:
         self._inserts: dict[str, str | Column] | None = None
         self._duplicates = "error"
         self._latest_by: tuple[str, ...] = ()
-        self._small_source = False
 
     def using(self, source: DataFrame) -> Upsert:
         self._source = source
@@ -59,11 +56,6 @@ class Upsert:
         self._duplicates, self._latest_by = policy, tuple(latest_by)
         return self
 
-    def small_source(self, small: bool = True) -> Upsert:
-        """Broadcast the source instead of shuffling the target; only for a source of checked size (``fits``)."""
-        self._small_source = small
-        return self
-
     def when_matched_update(self, assignments: dict[str, str | Column] | None = None) -> Upsert:
         self._updates = self._all_from_source(self._non_keys()) if assignments is None else dict(assignments)
         return self
@@ -93,7 +85,7 @@ class Upsert:
         if self._source is None or not self._keys:
             raise ValueError("an upsert needs using(source) and on(keys)")
         source = self._marked_source()
-        merged = self._joined_small(source) if self._small_source else self._joined(source)
+        merged = self._joined(source)
         if self._inserts is None or self._duplicates == "unique":
             return merged
         nulls = self._as_inserts(self._source.filter(~all_present(self._keys)))
@@ -105,16 +97,6 @@ class Upsert:
         joined = self._marked_target().join(source.alias("source"), self._same_key(), how)
         return joined.select(*[self._assigned(f) for f in self._target.schema], self._action())
 
-    def _joined_small(self, source: DataFrame) -> DataFrame:
-        """The target looks its rows up in the broadcast source; source keys it does not have are the inserts."""
-        joined = self._marked_target().join(F.broadcast(source.alias("source")), self._same_key(), "left_outer")
-        kept = joined.select(*[self._assigned(f) for f in self._target.schema], self._action())
-        if self._inserts is None:
-            return kept
-        keys = list(self._keys)
-        known = self._target.select(keys).join(F.broadcast(source.select(keys)), keys, "left_semi")
-        return kept.unionByName(self._as_inserts(source.join(known, keys, "left_anti")))
-
     def _marked_target(self) -> DataFrame:
         return self._target.withColumn("_in_target", F.lit(True)).alias("target")
 
@@ -167,11 +149,6 @@ class Upsert:
         writer.merge()
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counting stops beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def _expression(value: str | Column) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
@@ -205,7 +182,6 @@ def upsert(
     duplicates: str = "error",
     latest_by=(),
     with_actions: bool = False,
-    small_source: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` on ``keys``.
 
@@ -224,7 +200,6 @@ def upsert(
         .duplicates(duplicates, latest_by)
         .when_matched_update(updates)
         .when_not_matched_insert(inserts)
-        .small_source(small_source)
     )
     return merge.with_actions() if with_actions else merge.to_df()
 

@@ -53,5 +53,6 @@ def load_bronze(
         dataset.natural_key,
         part_column=dataset.event_date,
         overrides={"processing_date": F.lit(day)},
+        duplicates="unique",
         parts_from=keyed_rows(landing, dataset),
     )

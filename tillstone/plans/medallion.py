@@ -16,10 +16,6 @@ from tillstone.sources.landing import ingest_batch_all
 from tillstone.sources.tables import TableStore
 
 
-# A lookup batch up to this many rows (some hundred bytes each) is broadcast to its table.
-SMALL_LOOKUP_ROWS = 250_000
-
-
 @dataclass(frozen=True)
 class Batch:
     """Parameters of one run."""
@@ -51,7 +47,7 @@ def load_silver(spark: SparkSession, batch: Batch, dataset: Dataset) -> dict[str
         part_column=dataset.event_date,
         overrides={"processing_date": F.lit(day)},
         parts_from=standardise(raw, dataset, day, batch.as_of),
-        small_source_rows=None if dataset.event_date else SMALL_LOOKUP_ROWS,
+        duplicates="unique",
     )
 
 
@@ -66,7 +62,6 @@ def load_gold(spark: SparkSession, batch: Batch, table: str) -> dict[str, int]:
         build_gold(table, rows),
         (gold.key,),
         part_column=gold.event_date,
-        small_source_rows=None if gold.event_date else SMALL_LOOKUP_ROWS,
     )
 
 

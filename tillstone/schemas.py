@@ -276,7 +276,6 @@ DATASETS = {
             natural_key=("staff_id",), silver_key=("staff_id",), mandatory=("staff_id",),
             dedup_key=("staff_id", "start_date"), latest_by=("start_date",),
             title_columns=("first_name", "last_name", "position"), date_columns=("start_date",),
-            landing_files=1,
         ),
         Dataset(
             "food_inventory", "food_inventory", INVENTORY, SILVER_INVENTORY,
@@ -290,7 +289,6 @@ DATASETS = {
             "product", "product_lookup", PRODUCT, SILVER_PRODUCT,
             natural_key=("product_id",), silver_key=("product_id",), mandatory=("product_id",),
             dedup_key=("product_id",), flag_columns=("tax_exempt_yn", "promo_yn", "new_product_yn"),
-            landing_files=1,
         ),
         Dataset(
             "sales", "sales_by_store", SALES, SILVER_SALES,

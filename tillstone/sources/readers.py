@@ -42,14 +42,3 @@ def scan_landing(spark: SparkSession, landing_root: str, dataset: Dataset) -> Da
 def scan_one_partition(spark: SparkSession, landing_root: str, dataset: Dataset, day: date) -> DataFrame:
     """One batch of the landing table; the filter prunes all other directories."""
     return scan_landing(spark, landing_root, dataset).filter(F.col("processing_date") == F.lit(day))
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than the cluster has cores, dealt out to all of them.
-
-    One small file is one split, and all work up to the first shuffle would
-    run on a single core. A scan with enough splits comes back as it is, so
-    large inputs pay nothing.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

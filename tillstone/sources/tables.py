@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstone.operators.upsert import ACTION, fits, upsert
+from tillstone.operators.upsert import ACTION, upsert
 
 PART = "part"
 WHOLE_TABLE = "all"
@@ -137,17 +137,16 @@ class TableStore:
         part_column: str | None = None,
         overrides: dict[str, Column] | None = None,
         update_cols=None,
-        duplicates: str = "unique",
+        duplicates: str = "error",
         parts_from: DataFrame | None = None,
-        small_source_rows: int | None = None,
     ) -> dict[str, int]:
         """Merge ``source`` into the table and commit; the metrics of the merge.
 
         ``part_column`` must belong to (or be derived from) the key, so that a
         row never moves to another month. ``parts_from`` may name a cheaper
         DataFrame with at least the months of ``source``, such as the rows
-        before deduplication. A batch of at most ``small_source_rows`` rows is
-        broadcast, so that a large table is not shuffled for it.
+        before deduplication. Repeated source keys fail the job unless the caller
+        has just made them unique and says so with ``duplicates``.
         """
         current = self._current(name)
         if not current:
@@ -159,10 +158,7 @@ class TableStore:
         else:
             touched = [WHOLE_TABLE]
         target = self._read_parts(name, schema, {p: s for p, s in current.items() if p in touched})
-        small = small_source_rows is not None and fits(source, small_source_rows)
-        merged = upsert(
-            target, source, keys, update_cols, overrides, duplicates, with_actions=True, small_source=small
-        )
+        merged = upsert(target, source, keys, update_cols, overrides, duplicates, with_actions=True)
         merged = merged.withColumn(PART, part())
         if part_column:
             merged = merged.hint("rebalance", F.col(PART))

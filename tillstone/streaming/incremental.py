@@ -37,6 +37,7 @@ def merge_new_batches(
                 dataset.natural_key,
                 part_column=dataset.event_date,
                 overrides={"processing_date": F.lit(day)},
+                duplicates="unique",
                 parts_from=keyed_rows(rows, dataset),
             )
 
