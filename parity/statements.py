@@ -33,10 +33,14 @@ def _audit(name: str) -> str:
     )
 
 
+def _one_spelling(key: str) -> str:
+    return f"coalesce(cast({v.as_int(key)} as varchar), nullif(trim({key}), ''))"
+
+
 def _orphans(child: str, key: str, parent: str, parent_key: str) -> str:
-    return f"""select trim({key}) as orphan_key, count(*) as n_rows, '{child}.{key} -> {parent}' as relation
-        from raw_{child} where {key} is not null and trim({key}) not in (
-            select cast({parent_key} as varchar) from silver_{parent}) group by 1"""
+    return f"""select {_one_spelling(key)} as orphan_key, count(*) as n_rows, '{child}.{key} -> {parent}' as relation
+        from raw_{child} where {_one_spelling(key)} is not null and {_one_spelling(key)} not in (
+            select {_one_spelling(f"cast({parent_key} as varchar)")} from silver_{parent}) group by 1"""
 
 
 def _delivered(name: str, *extra: str) -> str:
@@ -284,7 +288,8 @@ _BODIES = {
         select store_id, product_id, cast(sum(waste_quantity) as bigint) as waste_quantity
         from fact_inventory group by 1, 2""",
     "stockout_events": """
-        select store_id, product_id, count(*) filter (stockout_flag = 'Y') as stockouts, count(*) as days_stocked
+        select store_id, product_id, count(*) filter (stockout_flag = 'Y') as stockouts,
+            count(distinct transaction_date) filter (quantity_start_of_day > 0) as days_stocked
         from fact_inventory group by 1, 2""",
     "top_products_selling_out": """
         select store_id, product_id, sold, stockouts, sales_rank from (
@@ -297,8 +302,9 @@ _BODIES = {
     "loyalty_engagement": f"""
         select case when c.customer_id is null then 'unknown' when loyalty_card_number is null then 'no card'
                 else 'card' end as loyalty,
-            count(distinct f.customer_id) as customers, count(*) as lines, {MONEY} as revenue
-        from fact_sales f left join dim_customer c on f.customer_id = c.customer_id group by 1""",
+            count(distinct coalesce(c.customer_id, f.customer_id)) as customers,
+            count(distinct f.customer_id) as buyers, count(f.customer_id) as lines, coalesce({MONEY}, 0) as revenue
+        from dim_customer c full join fact_sales f on f.customer_id = c.customer_id group by 1""",
     "staff_sales_performance": f"""
         select f.staff_id, {MONEY} as revenue, count(*) as lines, full_name, duration_category, is_manager
         from fact_sales f left join dim_employee e on f.staff_id = e.staff_id

@@ -247,7 +247,8 @@ for _name in STANDARD:
         _raw_listed = ", ".join(RAW_COLUMNS[_name])
         _filled = " and ".join(f"coalesce(trim({c}), '') <> ''" for c in MANDATORY[_name])
         _first = first_of(
-            f"raw{_suffix}_{_name}", RAW_COLUMNS[_name], BRONZE_KEY[_name], (), present(BRONZE_KEY[_name]), _filled
+            f"raw{_suffix}_{_name}", RAW_COLUMNS[_name], BRONZE_KEY[_name], [bounded_date(c) for c in LATEST_BY.get(_name, ())],
+            present(BRONZE_KEY[_name]), _filled,
         )
         VIEWS[f"bronze{_suffix}_{_name}"] = f"select {_raw_listed}, {_day} as processing_date from ({_first})"
 

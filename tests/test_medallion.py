@@ -153,6 +153,28 @@ def test_store_rules_all_apply(spark):
     assert [(r["store_id"], r["store_type"], r["manager"], r["neighorhood"]) for r in out] == [(3, "retail", 6.0, "Astoria")]
 
 
+def test_the_latest_row_survives_bronze_and_silver(spark):
+    dataset = DATASETS["customer"]
+    rows = [
+        _customer("1", since="2018-01-01", home_store="2"), _customer("1", since="06/01/2018", home_store="3"),
+        _customer("1", since="2999-01-01", home_store="1"), _customer("1", since=None, home_store="0"),
+    ]
+    raw = spark.createDataFrame(rows, dataset.raw_schema)
+    kept = bronze_batch(raw, dataset, APRIL, APRIL).drop("processing_date")
+    assert [(r["customer_since"], r["home_store"]) for r in kept.collect()] == [("06/01/2018", "3")]
+    assert _bag(silver.clean(kept, dataset, APRIL, APRIL)) == _bag(silver.clean(raw, dataset, APRIL, APRIL))
+
+
+def test_a_whole_run_keeps_the_latest_row(spark, tmp_path):
+    dataset = DATASETS["employee"]
+    rows = [("6", "ann", "lee", "Roaster", start, place) for start, place in (("2011-01-02", "3"), ("2014-05-06", "5"))]
+    raw = spark.createDataFrame(rows, dataset.raw_schema)
+    retail_views.export_extract(raw, readers.batch_path(f"{tmp_path}/raw", "2019-04", dataset))
+    run_batch(spark, Batch(f"{tmp_path}/raw", str(tmp_path), "2019-04", APRIL, as_of=APRIL), names=("employee",))
+    out = TableStore(spark, f"{tmp_path}/gold").read("dim_employee", GOLD["dim_employee"].schema).collect()
+    assert [(r["start_date"], r["store_id"]) for r in out] == [(date(2014, 5, 6), 5)]
+
+
 def test_bronze_keeps_text_and_one_row_per_key(spark):
     dataset = DATASETS["store"]
     row = ("3", " retail ", "x", "a", "b", "NY", "11106", "-73.9", "40.7", "6.0", None)

@@ -1,11 +1,14 @@
 from collections import Counter
+from datetime import date
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tillstone.functions import keys
 from tillstone.operators import quality
+from tillstone.plans import analytics
 
 SMALL = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 ROWS = st.lists(
@@ -114,3 +117,20 @@ def test_require_not_null(spark, columns):
     kept = quality.require_not_null(df, columns).collect()
     assert all(r[c] is not None for r in kept for c in columns)
     assert len(kept) == 3 - len(columns)
+
+
+def test_a_key_has_one_spelling(evaluate):
+    spellings = ["3", " 03 ", "3.0", "x7 ", "", "  ", None]
+    assert evaluate(keys.reference_key, spellings) == ["3", "3", "3", "x7", None, None, None]
+
+
+def test_customers_without_purchases_and_unstocked_days_count_as_such(spark):
+    fact = spark.createDataFrame([(1, 2.5), (1, 1.0), (9, 4.0)], "customer_id int, revenue double")
+    customer = spark.createDataFrame([(1, "L"), (2, "M"), (3, None)], "customer_id int, loyalty_card_number string")
+    found = {tuple(r) for r in analytics.loyalty_engagement(fact, customer).collect()}
+    assert found == {("card", 2, 1, 2, 3.5), ("no card", 1, 0, 0, 0.0), ("unknown", 1, 1, 1, 4.0)}
+    days = [(1, 1, date(2019, 4, 1), 5, "Y"), (1, 1, date(2019, 4, 1), 5, "N"), (1, 1, date(2019, 4, 2), 0, "Y")]
+    stock = spark.createDataFrame(
+        days, "store_id int, product_id int, transaction_date date, quantity_start_of_day int, stockout_flag string"
+    )
+    assert [tuple(r) for r in analytics.stockout_events(stock).collect()] == [(1, 1, 2, 1)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillstone.functions import casts, rules
+
 # Separator, digest size and the columns behind each key.
 KEY_SEPARATOR = "||"
 KEY_BITS = 256
@@ -35,3 +37,9 @@ def inventory_id(null_token: str | None = None) -> Column:
 def date_id(c: Column) -> Column:
     """``yyyyMMdd`` text, the key of the calendars."""
     return F.date_format(c, "yyyyMMdd")
+
+
+def reference_key(c: Column) -> Column:
+    """Text of a key in one spelling (``3``, ``03`` and ``3.0`` are ``3``); unreadable text stays, blank text is NULL."""
+    text = rules.blank_to_null(c)
+    return F.coalesce(casts.cast_int(text).cast("string"), text)

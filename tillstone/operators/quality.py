@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,10 +13,10 @@ def _named(column: str) -> Column:
     return F.col(f"`{column}`")
 
 
-def keep_one(df: DataFrame, keys, latest_by=(), prefer: Column | None = None) -> DataFrame:
+def keep_one(df: DataFrame, keys, latest_by=(), prefer: Sequence[Column] = ()) -> DataFrame:
     """One row per key (NULL keys group together), chosen by a total order.
 
-    Rows that meet ``prefer`` come first, then the newest by the
+    The largest values of ``prefer`` come first, then the newest by the
     ``latest_by`` columns; all remaining columns break ties, so the survivor
     is the same on every run. The ``rn = 1`` filter lets Spark keep one row
     per key *before* the shuffle, so a key with a huge number of copies
@@ -23,8 +24,7 @@ def keep_one(df: DataFrame, keys, latest_by=(), prefer: Column | None = None) ->
     """
     rest = [c for c in df.columns if c not in keys and c not in latest_by]
     order = [_named(c).desc_nulls_last() for c in latest_by] + [_named(c).asc_nulls_last() for c in rest]
-    if prefer is not None:
-        order.insert(0, prefer.desc_nulls_last())
+    order = [c.desc_nulls_last() for c in prefer] + order
     if not order:
         return df.dropDuplicates(list(keys))
     window = Window.partitionBy(*[_named(k) for k in keys]).orderBy(*order)
@@ -60,7 +60,7 @@ def keep_complete(df: DataFrame, mandatory, keys, latest_by=()) -> DataFrame:
     it, the filter would be pushed through the projection that parses the
     columns and every one of them would be parsed twice.
     """
-    return require_not_null(keep_one(df, keys, latest_by, all_present(mandatory)), mandatory)
+    return require_not_null(keep_one(df, keys, latest_by, [all_present(mandatory)]), mandatory)
 
 
 def failed_columns(columns) -> Column:

@@ -149,9 +149,10 @@ def waste_by_store_product(fact) -> DataFrame:
 
 
 def stockout_events(fact) -> DataFrame:
-    """Days a product was sold out, of the days it was stocked, per store."""
+    """Times a product sold out, and the days on which it was stocked, per store and product."""
+    stocked_day = F.when(F.col("quantity_start_of_day") > 0, F.col("transaction_date"))
     return fact.groupBy("store_id", "product_id").agg(
-        F.count_if(F.col("stockout_flag") == "Y").alias("stockouts"), F.count(F.lit(1)).alias("days_stocked")
+        F.count_if(F.col("stockout_flag") == "Y").alias("stockouts"), F.count_distinct(stocked_day).alias("days_stocked")
     )
 
 
@@ -166,14 +167,22 @@ def top_products_selling_out(fact, k: int = 10) -> DataFrame:
 
 
 def loyalty_engagement(fact, customer) -> DataFrame:
-    """Customers and revenue with and without a loyalty card; buyers missing in the dimension are ``unknown``."""
+    """Customers, buyers among them and their revenue with and without a loyalty card.
+
+    Customers who bought nothing count; buyers missing in the dimension are ``unknown``.
+    """
     cards = customer.select(
         "customer_id", F.when(F.col("loyalty_card_number").isNotNull(), "card").otherwise("no card").alias("loyalty")
     )
     out = (
-        _left(_per_customer(fact), cards, "customer_id")
+        cards.join(_per_customer(fact), "customer_id", "full")
         .groupBy(F.coalesce("loyalty", F.lit("unknown")).alias("loyalty"))
-        .agg(F.count(F.lit(1)).alias("customers"), F.sum("lines").alias("lines"), F.sum("revenue").alias("revenue"))
+        .agg(
+            F.count(F.lit(1)).alias("customers"),
+            F.count("lines").alias("buyers"),
+            F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"),
+            F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"),
+        )
     )
     return _as_double(out, "revenue")
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstone.functions import rules
 from tillstone.operators.quality import keep_one, require_not_null
 from tillstone.operators.upsert import upsert
 from tillstone.schemas import Dataset
@@ -30,10 +31,17 @@ def keyed_rows(landing: DataFrame, dataset: Dataset) -> DataFrame:
     return require_not_null(landing.select(*[F.col(f"`{c}`") for c in dataset.raw_columns]), dataset.natural_key)
 
 
-def bronze_batch(landing: DataFrame, dataset: Dataset, day: date) -> DataFrame:
-    """One row per natural key, one that silver can use if there is any."""
+def bronze_batch(landing: DataFrame, dataset: Dataset, day: date, as_of: date | None = None) -> DataFrame:
+    """One row per natural key: one that silver can use if there is any, and of these the latest.
+
+    The dates that decide are read as silver reads them, so one that silver
+    refuses (later than ``as_of``, today by default) never wins.
+    """
+    today = F.current_date() if as_of is None else F.lit(as_of)
+    latest = [rules.clean_date(F.col(f"`{c}`"), today) for c in dataset.latest_by]
     filled = reduce(lambda a, b: a & b, [F.coalesce(F.trim(f"`{c}`") != "", F.lit(False)) for c in dataset.mandatory])
-    return stamp_processing_date(keep_one(keyed_rows(landing, dataset), dataset.natural_key, prefer=filled), day)
+    rows = keep_one(keyed_rows(landing, dataset), dataset.natural_key, prefer=[filled, *latest])
+    return stamp_processing_date(rows, day)
 
 
 def merge_bronze(target: DataFrame, batch: DataFrame, dataset: Dataset, day: date) -> DataFrame:
@@ -42,14 +50,14 @@ def merge_bronze(target: DataFrame, batch: DataFrame, dataset: Dataset, day: dat
 
 
 def load_bronze(
-    spark: SparkSession, store: TableStore, landing_root: str, dataset: Dataset, day: date
+    spark: SparkSession, store: TableStore, landing_root: str, dataset: Dataset, day: date, as_of: date | None = None
 ) -> dict[str, int]:
     """Merge the landing partition of ``day`` into the bronze table."""
     landing = scan_one_partition(spark, landing_root, dataset, day)
     return store.upsert(
         dataset.bronze_table,
         bronze_schema(dataset),
-        bronze_batch(landing, dataset, day),
+        bronze_batch(landing, dataset, day, as_of),
         dataset.natural_key,
         part_column=dataset.event_date,
         overrides={"processing_date": F.lit(day)},

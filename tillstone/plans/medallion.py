@@ -89,7 +89,7 @@ def run_batch(
     for dataset in (DATASETS[name] for name, has_data in landed.items() if has_data):
         bronze = batch.store(spark, "bronze")
         metrics[dataset.bronze_table] = load_bronze(
-            spark, bronze, batch.landing_root, dataset, batch.processing_date
+            spark, bronze, batch.landing_root, dataset, batch.processing_date, batch.as_of
         )
         metrics[dataset.silver_table] = load_silver(spark, batch, dataset)
         for table, gold in GOLD.items():

@@ -373,8 +373,15 @@ def dq_audit(spark, sf_dir):
 
 @query
 def check_referential_integrity(spark, sf_dir):
-    """Keys of employees, sales and inventory that their dimension does not have."""
-    dims = {name: silver_table(spark, sf_dir, name) for name in ("store", "product", "customer", "employee")}
+    """Keys of employees, sales and inventory that their dimension does not have.
+
+    Keys are compared as silver reads them; text it cannot read is reported as delivered, blank text is no key.
+    """
+    keys_of = {"store": "store_id", "product": "product_id", "customer": "customer_id", "employee": "staff_id"}
+    dims = {
+        name: standard(spark, sf_dir, name).select(keys.reference_key(F.col(key).cast("string")).alias(key)).distinct()
+        for name, key in keys_of.items()
+    }
     checks = {
         "employee": {"location": ("store", "store_id")},
         "sales": {
@@ -387,7 +394,7 @@ def check_referential_integrity(spark, sf_dir):
     }
     found = []
     for child, parents in checks.items():
-        rows = raw(spark, sf_dir, child).select(*[F.trim(key).alias(key) for key in parents])
+        rows = raw(spark, sf_dir, child).select(*[keys.reference_key(F.col(key)).alias(key) for key in parents])
         references = [
             (key, dims[parent], parent_key, f"{child}.{key} -> {parent}") for key, (parent, parent_key) in parents.items()
         ]
@@ -547,7 +554,7 @@ def bronze_store(spark: SparkSession, sf_dir: str, dataset: Dataset) -> TableSto
     root = landed_batches(spark, sf_dir, dataset, workspace)
     store = TableStore(spark, f"{workspace}/bronze")
     for day in (FIRST_DAY, SECOND_DAY):
-        bronze.load_bronze(spark, store, root, dataset, day)
+        bronze.load_bronze(spark, store, root, dataset, day, DAY)
     return store
 
 

@@ -7,6 +7,8 @@ retried after a failure is safe.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +23,7 @@ def stream_landing(spark: SparkSession, landing_root: str, dataset: Dataset) ->
 
 
 def merge_new_batches(
-    spark: SparkSession, store: TableStore, landing_root: str, dataset: Dataset, checkpoint: str
+    spark: SparkSession, store: TableStore, landing_root: str, dataset: Dataset, checkpoint: str, as_of: date | None = None
 ) -> StreamingQuery:
     """Merge everything that has arrived since the last run into the bronze table, oldest date first, and stop."""
 
@@ -33,7 +35,7 @@ def merge_new_batches(
             store.upsert(
                 dataset.bronze_table,
                 bronze_schema(dataset),
-                bronze_batch(rows, dataset, day),
+                bronze_batch(rows, dataset, day, as_of),
                 dataset.natural_key,
                 part_column=dataset.event_date,
                 overrides={"processing_date": F.lit(day)},
