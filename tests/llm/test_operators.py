@@ -77,6 +77,20 @@ def test_near_duplicates_as_brute_force(documents, how):
     assert got == brute_components(rows, 2)
 
 
+def test_a_hub_keeps_all_links_of_its_buckets_of_two(spark, documents):
+    """Neighbours at 0.8 of a hub and below it with each other, each in a bucket with the hub alone."""
+    how, n = minhash.MinHash(shingle=1), 12
+    hub = [f"h{i}" for i in range(270)]
+    rows = [(i, " ".join(hub[: 20 * i] + [f"n{i}x{k}" for k in range(20)] + hub[20 * i + 20 :])) for i in range(n)]
+    docs = documents([*rows, (n, " ".join(hub))])
+    buckets = F.when(F.col("doc_id") == n, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.col("doc_id").cast("int")))
+    sketch = minhash.digests(docs, how).select(
+        F.col("doc_id").alias("id"), "doc_id", "text_hash", "n", "marks", buckets.cast("array<long>").alias("bands")
+    )
+    got = dict(minhash.linked_classes(docs, minhash.settle(sketch, "test-sketch"), how).collect())
+    assert got == dict.fromkeys(range(n + 1), 0)
+
+
 def test_one_document_of_each_group_stays(documents):
     text = " ".join(f"t{i}" for i in range(30))
     rows = [(3, text), (2, text), (2, text), (None, text), (7, ""), (8, None), (9, "alone")]

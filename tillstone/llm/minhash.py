@@ -202,11 +202,19 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, how: MinHash) -> DataFram
         best = likely.join(pairs, ["a", "b"]).groupBy("id").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p"))
         likely = settle(best.select("p.a", "p.b").distinct(), "minhash-checked")
         found = settle(confirm(with_both(likely, sets.withColumnRenamed("shingles", "set"), "set"), how), "minhash-found")
+        tested = tested.union(likely)
         if found.isEmpty():
             break
         links = links.union(found)
         parts = settle(components(links), "minhash-parts")
-        tested = tested.union(likely)
+    # A bucket of two is one pair: whatever of these is still apart and untested is tested now, not only the best of a member.
+    pairs = twos(members, parts).join(tested, ["a", "b"], "left_anti")
+    pairs = pairs.filter(100 * F.col("few") >= how.similar_pct * F.col("many")).select("a", "b").distinct()
+    likely = settle(estimate(with_both(pairs, marks, "marks"), how).select("a", "b"), "minhash-likely")
+    found = settle(confirm(with_both(likely, sets.withColumnRenamed("shingles", "set"), "set"), how), "minhash-found")
+    if not found.isEmpty():
+        links = links.union(found)
+        parts = settle(components(links), "minhash-parts")
     found = settle(across(members, parts, marks.join(sets.withColumnRenamed("id", "s"), F.col("id") == F.col("s")).drop("s"), how), "minhash-found")
     return parts if found.isEmpty() else settle(components(links.union(found)), "minhash-parts")
 
@@ -222,7 +230,7 @@ def across(members: DataFrame, parts: DataFrame, sketches: DataFrame, how: MinHa
 
     Parts that share buckets are a family. A family is cut into blocks of
     bounded size, and each two blocks meet in a task, which returns no more
-    links than it has parts to join. A bucket of two has been settled by its pivot.
+    links than it has parts to join. Buckets of two have been settled pair by pair.
     """
     apart = with_parts(members, parts)
     mixed = apart.groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
@@ -291,6 +299,15 @@ def candidates(members: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
     )
 
 
+def twos(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """(a, b, few, many): the members of each bucket of two, if they lie in different parts."""
+    both = with_parts(members, parts).groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"),
+        F.min("id").alias("a"), F.max("id").alias("b"), F.min("n").alias("few"), F.max("n").alias("many"),
+    )
+    return both.filter("size = 2 and low < high").select("a", "b", "few", "many")
+
+
 def with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) with the value of either side as ``<name>_a`` and ``<name>_b``."""
     for side in ("a", "b"):
