@@ -153,6 +153,20 @@ def test_templates_as_brute_force(documents):
         assert (r.n_lines, r.n_dropped, r.text_sha256) == (len(lines), len(gone[r.doc_id]), hashlib.sha256(left.encode()).hexdigest())
 
 
+@pytest.mark.parametrize("names,hot", [(200, 0), (11, 0), (200, 700)])
+def test_many_templates_of_one_leaf(documents, names, hot):
+    """Twelve templates that share their leading tokens, their fields words without a digit; also beside a hot line."""
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:03}")
+    rows = []
+    for d in range(12 * 22):
+        t, k = word(d % 12), word(d // 12 * 7 % names)
+        rows.append((d, f"the same start {k} {t}one {t}two {t}three {t}four {t}five {word(d)}"))
+    rows += [(1000 + d, "\n".join(["the same start of a hot line beside the rest"] * hot)) for d in range(8)] if hot else []
+    gone = {r.doc_id: r.n_dropped for r in templates.op4(documents(rows)).collect()}
+    assert [d for d in range(12 * 22) if not gone[d]] == list(range(12))
+    assert all(gone[1000 + d] == (hot if d else 0) for d in range(8 if hot else 0))
+
+
 def test_a_document_of_recurring_lines_goes_but_the_first(documents):
     rows = [(d, "the very same line of text here") for d in range(9)] + [(20, "")]
     kept = templates.drop_recurring(documents(rows)).collect()

@@ -3,8 +3,10 @@
 A line goes down the tree by its number of tokens and its leading tokens;
 tokens with a digit are variable fields from the start. In a leaf that enough
 documents share, a token that is rare at its place is a variable field too, and
-a line that is mostly fixed tokens becomes a template. Lines of a template that
-recurs across documents are dropped, but for the first document that has it.
+a line that is mostly fixed tokens becomes a template. What no template fits is
+split further by the tokens that many documents have, until nothing is left to
+split. Lines of a template that recurs across documents are dropped, but for the
+first document that has it.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ SPACE = r"\x20\x09-\x0D"
 @dataclass(frozen=True)
 class Tree:
     """``depth`` leading tokens below the token count. A token is fixed at its place if more than ``limit`` documents
-    and at least ``token_share`` of the leaf's lines have it there; a line needs ``similarity`` of its tokens fixed
-    to be generalised, else it stands for itself. A template in more than ``limit`` documents recurs."""
+    and at least ``token_share`` of the lines of the leaf, or of a part split off from it, have it there; a line needs
+    ``similarity`` of its tokens fixed in one of these to be generalised, else it stands for itself. A template in more
+    than ``limit`` documents recurs."""
 
     depth: int = 3
     limit: int = 6
@@ -81,35 +84,84 @@ def templates(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
         (F.col("leaf") == F.col("f_leaf")) & (F.col("literal") == F.col("f_literal")),
     ).drop("f_leaf", "f_literal")
     known = settle(known, "template-known")
-    places = known.select("leaf", "n_lines", "n_documents", F.posexplode("tokens").alias("p", "token"))
-    sizes = known.groupBy(F.col("leaf").alias("s_leaf")).agg(F.sum("n_lines").alias("leaf_lines"))
-    often = (F.col("documents") > tree.limit) & (F.col("n") >= F.col("leaf_lines") * F.lit(tree.token_share))
+    named = settle(general_forms(known, tree), "template-general")
+    return found.join(named, (F.col("leaf") == F.col("k_leaf")) & (F.col("literal") == F.col("k_literal")), "left").select(
+        "doc_id", "text_hash", "i", F.coalesce("template", F.xxhash64("leaf", "literal")).alias("template")
+    )
+
+
+def general_forms(known: DataFrame, tree: Tree) -> DataFrame:
+    """(k_leaf, k_literal, template) of the lines that are similar enough to others of their leaf, or of a part of it.
+
+    A part that is split off has less than ``token_share`` of the lines it comes
+    from, and more than ``limit`` documents, so there are few rounds.
+    """
+    named, rest = None, known.withColumns({"part": F.col("leaf"), "weight": F.lit(0).cast("long")})
+    while True:
+        lines = settle(shaped(rest, tree), "template-shaped")
+        # A line in several parts takes the form with the most fields, and goes on in the largest part if it has none.
+        best = lines.filter("template is not null").groupBy(F.col("leaf").alias("k_leaf"), F.col("literal").alias("k_literal")).agg(
+            F.min_by("template", F.struct("n_fixed", -F.col("weight"), "part")).alias("template")
+        )
+        named = best if named is None else named.union(best)
+        left = lines.filter("template is null and tokens is not null").join(
+            best, (F.col("leaf") == F.col("k_leaf")) & (F.col("literal") == F.col("k_literal")), "left_anti"
+        )
+        columns = F.struct("weight", "part", "tokens", "open", "n_lines", "n_documents")
+        left = settle(left.groupBy("leaf", "literal").agg(F.max_by(columns, F.struct("weight", "part")).alias("x")), "template-left")
+        rest = settle(split(left.select("leaf", "literal", "x.*"), tree), "template-parts")
+        if rest.isEmpty():
+            return named
+
+
+def shaped(lines: DataFrame, tree: Tree) -> DataFrame:
+    """``lines`` with ``template``, NULL where too few tokens are fixed in their part, and ``n_fixed``.
+
+    ``tokens`` and those of them that are ``open`` (not fixed, else NULL) stay
+    only for a line without a template in a part that is worth splitting.
+    """
+    places = lines.select("part", "n_lines", "n_documents", F.posexplode("tokens").alias("p", "token"))
+    sizes = lines.groupBy(F.col("part").alias("s_part")).agg(F.sum("n_lines").alias("part_lines"))
+    often = (F.col("documents") > tree.limit) & (F.col("n") >= F.col("part_lines") * F.lit(tree.token_share))
     fixed = (
-        places.groupBy("leaf", "p", "token")
+        places.groupBy("part", "p", "token")
         .agg(F.sum("n_lines").alias("n"), F.sum("n_documents").alias("documents"))
-        .join(sizes, F.col("leaf") == F.col("s_leaf"))
-        # At most 1 / token_share tokens for each place; every place of the leaf has an entry.
-        .groupBy("leaf", "p")
-        .agg(F.collect_set(F.when(often, F.col("token"))).alias("fixed"))
-        .groupBy(F.col("leaf").alias("x_leaf"))
-        .agg(F.sort_array(F.collect_list(F.struct("p", "fixed"))).alias("places"))
+        .join(sizes, F.col("part") == F.col("s_part"))
+        # At most 1 / token_share tokens for each place; every place of the part has an entry.
+        .groupBy("part", "p")
+        .agg(F.collect_set(F.when(often, F.col("token"))).alias("fixed"), F.first("part_lines").alias("part_lines"))
+        .groupBy(F.col("part").alias("x_part"))
+        .agg(F.sort_array(F.collect_list(F.struct("p", "fixed"))).alias("places"), F.first("part_lines").alias("part_lines"))
     )
     fixed = settle(fixed, "template-fixed")
     general = F.transform(
         "tokens", lambda t, p: F.when(F.array_contains(F.get("places", p)["fixed"], t), t).otherwise(FIELD)
     )
     n_fixed = F.size(F.filter("general", lambda t: t != FIELD))
-    wide = known.join(fixed, F.col("leaf") == F.col("x_leaf")).withColumn("general", general)
-    named = wide.select(
-        F.col("leaf").alias("k_leaf"),
-        F.col("literal").alias("k_literal"),
-        F.when(
-            n_fixed >= F.lit(tree.similarity) * F.size("tokens"), F.xxhash64("leaf", "general")
-        ).otherwise(F.xxhash64("leaf", "tokens")).alias("template"),
+    wide = lines.join(fixed, F.col("part") == F.col("x_part")).withColumn("general", general).withColumn("n_fixed", n_fixed)
+    like = F.col("n_fixed") >= F.lit(tree.similarity) * F.size("tokens")
+    # Up to this size, all tokens in more than ``limit`` documents are fixed.
+    worth = ~like & (F.col("part_lines") * F.lit(tree.token_share) > tree.limit)
+    is_open = F.transform("tokens", lambda t, p: F.when(t != F.get("general", p), t))
+    return wide.select(
+        "part", "weight", "leaf", "literal", "n_lines", "n_documents", "n_fixed",
+        F.when(like, F.xxhash64("leaf", "general")).alias("template"),
+        F.when(worth, F.col("tokens")).alias("tokens"),
+        F.when(worth, is_open).alias("open"),
     )
-    return found.join(named, (F.col("leaf") == F.col("k_leaf")) & (F.col("literal") == F.col("k_literal"))).select(
-        "doc_id", "text_hash", "i", "template"
+
+
+def split(lines: DataFrame, tree: Tree) -> DataFrame:
+    """Each line once for each of its open tokens that more than ``limit`` documents of its part have at that place."""
+    at = lines.select("part", "leaf", "literal", "n_documents", F.posexplode("open").alias("p", "token")).filter("token is not null")
+    busy = at.groupBy(F.col("part").alias("b_part"), F.col("p").alias("b_p"), F.col("token").alias("b_token"))
+    busy = settle(busy.agg(F.sum("n_documents").alias("weight")).filter(F.col("weight") > tree.limit), "template-splits")
+    here = (F.col("part") == F.col("b_part")) & (F.col("p") == F.col("b_p")) & (F.col("token") == F.col("b_token"))
+    parts = at.join(busy, here).select(
+        F.col("leaf").alias("p_leaf"), F.col("literal").alias("p_literal"), F.xxhash64("part", "p", "token").alias("part"), "weight"
     )
+    whole_lines = lines.select("leaf", "literal", "tokens", "n_lines", "n_documents")
+    return whole_lines.join(parts, (F.col("leaf") == F.col("p_leaf")) & (F.col("literal") == F.col("p_literal"))).drop("p_leaf", "p_literal")
 
 
 def literals(docs: DataFrame, busy: DataFrame, tree: Tree) -> DataFrame:
