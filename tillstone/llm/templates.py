@@ -26,7 +26,7 @@ SPACE = r"\x20\x09-\x0D"
 class Tree:
     """``depth`` leading tokens below the token count. A token is fixed at its place if more than ``limit`` documents
     and at least ``token_share`` of the lines of the leaf, or of a part split off from it, have it there; a line needs
-    ``similarity`` of its tokens fixed in one of these to be generalised, else it stands for itself. A template in more
+    ``similarity`` of its tokens fixed in one of these to be generalised, else it stands for itself, digits and all. A template in more
     than ``limit`` documents recurs."""
 
     depth: int = 3
@@ -42,7 +42,7 @@ def masked(line: Column) -> Column:
 
 
 def parsed(docs: DataFrame, tree: Tree) -> DataFrame:
-    """One row per distinct document: for each line with a token its number, leaf and the hash of its masked tokens."""
+    """One row per distinct document: for each line with a token its number, leaf and the hashes of its tokens, masked and as they are."""
     lines = F.transform(
         F.split(whole("text"), "\n"),
         lambda x, i: let(
@@ -52,6 +52,7 @@ def parsed(docs: DataFrame, tree: Tree) -> DataFrame:
                 F.size(t).alias("n"),
                 F.xxhash64(F.size(t), F.slice(t, 1, tree.depth)).alias("leaf"),
                 F.xxhash64(t).alias("literal"),
+                F.when(F.rlike(x, F.lit("[0-9]")), F.xxhash64(words_of(x))).otherwise(F.xxhash64(t)).alias("exact"),
             ),
         ),
     )
@@ -70,7 +71,7 @@ def templates(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     busy = settle(busy_leaves(rows, tree), "template-leaves").withColumnRenamed("leaf", "b_leaf")
     found = (
         rows.select("doc_id", "text_hash", F.explode("lines").alias("x"))
-        .select("doc_id", "text_hash", "x.i", "x.leaf", "x.literal")
+        .select("doc_id", "text_hash", "x.i", "x.leaf", "x.literal", "x.exact")
         .join(busy, F.col("leaf") == F.col("b_leaf"))
         .drop("b_leaf")
     )
@@ -86,7 +87,7 @@ def templates(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     known = settle(known, "template-known")
     named = settle(general_forms(known, tree), "template-general")
     return found.join(named, (F.col("leaf") == F.col("k_leaf")) & (F.col("literal") == F.col("k_literal")), "left").select(
-        "doc_id", "text_hash", "i", F.coalesce("template", F.xxhash64("leaf", "literal")).alias("template")
+        "doc_id", "text_hash", "i", F.coalesce("template", "exact").alias("template")
     )
 
 
