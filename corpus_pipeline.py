@@ -19,13 +19,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go, but for their first document."""
-    return templates.drop_recurring(docs)
+    """Lines of recurring templates go, but for their first document. Passages wait until near copies are gone as a whole."""
+    return templates.drop_recurring(docs, templates.Tree(long_limit=None))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
-    return minhash.keep_one(docs)
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more. Long lines shared by those that stay go."""
+    return templates.drop_passages(settle(minhash.keep_one(docs), "near-kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -176,6 +176,16 @@ def test_rows_of_numbers_stand_for_themselves(documents):
         assert (got[d].n_dropped, got[d].text_sha256) == (int(d > 0), hashlib.sha256(left.encode()).hexdigest())
 
 
+def test_a_long_line_recurs_in_two_documents(documents):
+    """A passage in two otherwise different documents, a short line in six, a long one with other numbers in two."""
+    passage = " ".join(f"{c}word" for c in "abcdefghijklmnopqrstuvwxyz" * 2)
+    rows = [(d, f"a short line\n{passage if d in (2, 4) else f'text {d}'}\nthe bill of this year came to {d} in all") for d in range(6)]
+    gone = {r.doc_id: r.n_dropped for r in templates.op4(documents([*rows, (None, passage)])).collect()}
+    assert gone == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1, 5: 0, None: 1}
+    kept = {r.doc_id: r.text for r in templates.drop_passages(documents([*rows, (None, passage)])).collect()}
+    assert kept == {d: text.replace(passage + "\n", "") if d == 4 else text for d, text in rows}
+
+
 def test_a_document_of_recurring_lines_goes_but_the_first(documents):
     rows = [(d, "the very same line of text here") for d in range(9)] + [(20, "")]
     kept = templates.drop_recurring(documents(rows)).collect()

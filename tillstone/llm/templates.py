@@ -27,12 +27,15 @@ class Tree:
     """``depth`` leading tokens below the token count. A token is fixed at its place if more than ``limit`` documents
     and at least ``token_share`` of the lines of the leaf, or of a part split off from it, have it there; a line needs
     ``similarity`` of its tokens fixed in one of these to be generalised, else it stands for itself, digits and all. A template in more
-    than ``limit`` documents recurs."""
+    than ``limit`` documents recurs; a line of ``long_words`` words or more, which no chance repeats, as it is spelled in
+    ``long_limit`` documents or more (None: such lines are left to ``drop_passages``)."""
 
     depth: int = 3
     limit: int = 6
     token_share: float = 0.1
     similarity: float = 0.7
+    long_words: int = 8
+    long_limit: int | None = 2
 
 
 def masked(line: Column) -> Column:
@@ -65,9 +68,8 @@ def busy_leaves(rows: DataFrame, tree: Tree) -> DataFrame:
     return leaves.groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") > tree.limit).select("leaf")
 
 
-def templates(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """(doc_id, text_hash, i, template) of every line in a busy leaf; equal rows of ``docs`` count as one document."""
-    rows = settle(parsed(docs, tree).dropDuplicates(["doc_id", "text_hash"]), "template-lines")
+def templates(docs: DataFrame, rows: DataFrame, tree: Tree = Tree()) -> DataFrame:
+    """(doc_id, text_hash, i, template) of every line in a busy leaf; ``rows`` are the ``parsed`` lines of ``docs``."""
     busy = settle(busy_leaves(rows, tree), "template-leaves").withColumnRenamed("leaf", "b_leaf")
     found = (
         rows.select("doc_id", "text_hash", F.explode("lines").alias("x"))
@@ -182,25 +184,52 @@ def recurring(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """(doc_id, text_hash, lines): the numbers of the lines to drop, from 0, for each document that has some.
 
     NULL and empty texts and blank lines have no template. The first document
-    of a template is the one with the smallest doc_id (NULL last), then hash;
-    it keeps all its lines of the template. Repeated rows are one document.
+    of a template or a long line is the one with the smallest doc_id (NULL
+    last), then hash; it keeps all its lines of it. Repeated rows are one document.
     """
-    lines = settle(templates(docs, tree), "template-named")
+    rows = settle(parsed(docs, tree).dropDuplicates(["doc_id", "text_hash"]), "template-lines")
+    gone = repeated(settle(templates(docs, rows, tree), "template-named"), tree.limit + 1)
+    if tree.long_limit is not None:
+        gone = gone.union(passages(rows, tree))
+    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("i").alias("lines"))
+
+
+def passages(rows: DataFrame, tree: Tree) -> DataFrame:
+    """(doc_id, text_hash, i) of the long lines to drop, as they are spelled."""
+    long = rows.select("doc_id", "text_hash", F.explode(F.filter("lines", lambda x: x.n >= tree.long_words)).alias("x"))
+    return repeated(long.select("doc_id", "text_hash", "x.i", F.col("x.exact").alias("template")), tree.long_limit)
+
+
+def repeated(lines: DataFrame, least: int) -> DataFrame:
+    """(doc_id, text_hash, i) of the lines whose template is in ``least`` documents or more, but for the first of these."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
-    often = (
-        lines.groupBy(F.col("template").alias("t"))
-        .agg(F.count_distinct(F.struct("doc_id", "text_hash")).alias("documents"), first.alias("first"))
-        .filter(F.col("documents") > tree.limit)
-    )
+    if least == 2:  # two documents: the first is not the last
+        last = F.max(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+        often = lines.groupBy(F.col("template").alias("t")).agg(first.alias("first"), last.alias("last"))
+        often = often.filter(~F.col("first").eqNullSafe(F.col("last"))).select("t", "first")
+    else:
+        often = lines.groupBy(F.col("template").alias("t")).agg(
+            F.count_distinct(F.struct("doc_id", "text_hash")).alias("documents"), first.alias("first")
+        ).filter(F.col("documents") >= least)
     own = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("text_hash") == F.col("first.text_hash"))
     gone = lines.join(settle(often, "template-often"), F.col("template") == F.col("t")).filter(~own)
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_list("i").alias("lines"))
+    return gone.select("doc_id", "text_hash", "i")
 
 
 def drop_recurring(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """``docs`` without recurring lines. A document that this leaves without a word goes; blank ones from before stay."""
+    return without(docs, recurring(docs, tree))
+
+
+def drop_passages(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
+    """``docs`` without the long lines that an earlier document has as well; else as ``drop_recurring``."""
+    rows = settle(parsed(docs, tree).dropDuplicates(["doc_id", "text_hash"]), "template-lines")
+    return without(docs, passages(rows, tree).groupBy("doc_id", "text_hash").agg(F.collect_list("i").alias("lines")))
+
+
+def without(docs: DataFrame, hits: DataFrame) -> DataFrame:
     gone = spare(docs.columns, "n_dropped")
-    rest = strip_lines(docs, settle(recurring(docs, tree), "template-hits"), gone)
+    rest = strip_lines(docs, settle(hits, "template-hits"), gone)
     return rest.filter((F.col(gone) == 0) | F.rlike("text", F.lit(rf"[^{SPACE}]"))).drop(gone)
 
 
