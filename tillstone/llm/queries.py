@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstone.llm import archives, langid, minhash, mixing, quality, secrets, templates, tiling, tokens, urls
+from tillstone.llm import archives, langid, minhash, mixing, prefix_trie, quality, secrets, simhash, templates, tiling, tokens, urls, whitening
 from tillstone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,9 +28,13 @@ QUERIES: dict[str, Query] = {
     "op8_language": over("documents", langid.op8),
     "op9_mixing": over("documents", mixing.op9),
     "op10_decontamination": over("documents", tiling.op10, "benchmark"),
+    "op11_prefix_trie": over("conversations", prefix_trie.op11),
+    "op12_whitening": over("embeddings", whitening.op12),
+    "op13_simhash": over("documents", simhash.op13),
 }
 
 STATEMENTS: dict[str, str] = {
     "op5_quality_rules": quality.OP5_SQL,
     "op9_mixing": mixing.OP9_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
 }
