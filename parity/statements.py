@@ -33,6 +33,39 @@ def _audit(name: str) -> str:
     )
 
 
+def _run_steps(name: str, layer: str, tagged: str, day: str) -> str:
+    """The steps of one batch in a layer, each with the rows that come to it and those it drops."""
+    dated = layer == "bronze" and name in v.EVENT_DATE
+    steps = [("null", "not_null"), *([("date", "real_date")] if dated else []), ("duplicate", "dedup")]
+    out, before = [], "0"
+    for kind, rule in steps:
+        gone = f"count(*) filter (rule like '{kind}:%')"
+        rows_in = f"count(*) - ({before})"
+        out.append(
+            f"select '{name}' as dataset, '{layer}' as layer, {day} as processing_date, '{rule}' as rule, {rows_in} as rows_in, "
+            f"{rows_in} - {gone} as rows_out, {gone} as dropped from {tagged}"
+        )
+        before += f" + {gone}"
+    return " union all ".join(out)
+
+
+def _second_batch(relation: str, name: str) -> str:
+    (key,) = v.MERGE_KEY[name]
+    return f"select r.*, d.action from {relation} r join did_{name} d on cast(r.{key} as varchar) = cast(d.{key} as varchar)"
+
+
+def _merges(table: str, name: str) -> str:
+    counts = [f"count(*) filter (action = '{a}')" for a in ("insert", "update")]
+    return f"""select '{table}' as table_name, cast(1 as integer) as snapshot, (select count(*) from taken1_{name}) as rows_inserted,
+            cast(0 as bigint) as rows_updated, cast(0 as bigint) as rows_deleted
+        union all select '{table}', 2, {counts[0]}, {counts[1]}, 0 from did_{name}"""
+
+
+def _calendar_merges(table: str) -> str:
+    return f"""select '{table}' as table_name, cast(1 as integer) as snapshot, count(*) as rows_inserted, cast(0 as bigint) as rows_updated,
+            cast(0 as bigint) as rows_deleted from calendar union all select '{table}', 2, 0, count(*), 0 from calendar"""
+
+
 def _one_spelling(key: str) -> str:
     return f"coalesce(cast({v.as_int(key)} as varchar), nullif(trim({key}), ''))"
 
@@ -84,6 +117,7 @@ _BODIES = {
         [*v.RAW_COLUMNS["food_inventory"], f"{v.SECOND} as processing_date"], "raw2_food_inventory"
     ),
     "scan_table_incremental": "select * from bronze2_employee",
+    "scan_months_incremental": f"select {', '.join(v.RAW_COLUMNS['food_inventory'])}, processing_date from bronze2_food_inventory",
     "write_partitioned_append": _both_batches("sales"),
     "write_single_file": f"""select {v.FIRST} as processing_date, cast(1 as bigint) as files, count(*) as n_rows
         from raw1_store union all select {v.SECOND}, 1, count(*) from raw2_store""",
@@ -164,11 +198,15 @@ _BODIES = {
     ),
     "strip_special_chars": """select customer_id,
         regexp_replace(customer_first_name, '[^A-Za-z0-9 ]', '', 'g') as customer_first_name from raw_customer""",
-    "reject_log": f"""
-        select {', '.join(v.silver_columns('customer'))}, cast(sum(n) as bigint) as copies,
-            case when customer_id is null then 'null:customer_id' else 'duplicate:customer_id' end as rule
-        from (select *, 1 as n from std_customer union all select *, -1 from silver_customer)
-        group by all having sum(n) > 0""",
+    "reject_log": " union all ".join(
+        f"""select {day} as processing_date, rule, record, count(*) as copies, '{n}' as dataset, '{layer}' as layer
+            from {view}{i}_{n} where rule is not null group by all"""
+        for n in v.STANDARD for layer, view in (("bronze", "btag"), ("silver", "stag")) for i, day in ((1, v.FIRST), (2, v.SECOND))
+    ),
+    "run_audit": " union all ".join(
+        _run_steps(n, layer, f"{view}{i}_{n}", day)
+        for n in v.STANDARD for layer, view in (("bronze", "btag"), ("silver", "stag")) for i, day in ((1, v.FIRST), (2, v.SECOND))
+    ),
     # Keys
     "sales_key": f"""select {SALES}, sales_key, sha256(concat_ws('||', {', '.join(
         f"coalesce(cast({c} as varchar), '?')" for c in v.SALES_GRAIN)})) as safe_sales_key from std_sales""",
@@ -237,6 +275,15 @@ _BODIES = {
         t: f"select * from {t}"
         for t in ("dim_customer", "dim_employee", "fact_inventory", "dim_product", "fact_sales", "dim_store")
     },
+    **{
+        f"silver_{SHORT.get(n, n)}_second_batch": _second_batch(f"(select {', '.join(v.silver_columns(n))} from after_{n})", n)
+        for n in v.STANDARD
+    },
+    **{f"{t}_second_batch": _second_batch(f"after_{t}", n) for t, n in v.STAR.items()},
+    **{f"{t}_second_batch": "select *, 'update' as action from calendar" for t in ("baked_calendar", "transaction_calendar")},
+    "gold_merge_metrics": " union all ".join(
+        [_merges(t, n) for t, n in v.STAR.items()] + [_calendar_merges(t) for t in ("baked_calendar", "transaction_calendar")]
+    ),
     "baked_calendar": "select * from calendar",
     "transaction_calendar": "select * from calendar",
     "date_spine_454": "select * from calendar",

@@ -252,6 +252,58 @@ for _name in STANDARD:
         )
         VIEWS[f"bronze{_suffix}_{_name}"] = f"select {_raw_listed}, {_day} as processing_date from ({_first})"
 
+# Batches as the load path takes them: every row with the rule it fails --------------------
+
+EVENT_DATE = {"food_inventory": "transaction_date", "sales": "transaction_date"}
+
+
+def _plain(column: str) -> str:
+    return column.strip('"')
+
+
+def _failed(columns, dated: str | None = None) -> str:
+    """The rule a row fails by itself: an event date that is none, or the mandatory columns that are missing."""
+    missing = ", ".join(f"case when {c} is null then '{_plain(c)}' end" for c in columns)
+    date_rule = "" if dated is None else f"when {dated} is not null and {bounded_date(dated)} is null then 'date:{dated}' "
+    return f"case {date_rule}when not ({present(columns)}) then 'null:' || concat_ws(',', {missing}) end"
+
+
+def _tagged(inner: str, columns, keys, order) -> str:
+    """Rows of ``inner`` (with ``failed`` and ``record``) and their ``rule``, NULL for the first row of a key."""
+    ranked = f"row_number() over (partition by {', '.join(keys)}, failed is null order by {', '.join(order)}) as rn"
+    duplicate = f"case when rn > 1 then 'duplicate:{','.join(map(_plain, keys))}' end"
+    return f"select {', '.join(columns)}, record, coalesce(failed, {duplicate}) as rule from (select *, {ranked} from ({inner}))"
+
+
+for _name in STANDARD:
+    _keys, _latest, _listed = BRONZE_KEY[_name], LATEST_BY.get(_name, ()), RAW_COLUMNS[_name]
+    _identity = list(dict.fromkeys((*_keys, *MANDATORY[_name])))
+    _record = f"concat_ws('|', {', '.join(f"coalesce({c}, '<null>')" for c in _identity)}) as record"
+    _filled = " and ".join(f"coalesce(trim({c}), '') <> ''" for c in MANDATORY[_name])
+    _raw_order = [f"({_filled}) desc", *[f"{bounded_date(c)} desc nulls last" for c in _latest]]
+    _raw_order += [f"{c} asc nulls last" for c in _listed if c not in _keys]
+    _silver_order = [f"{c} desc nulls last" for c in _latest]
+    _silver_order += [f"{c} asc nulls last" for c in silver_columns(_name) if c not in MERGE_KEY[_name] and c not in _latest]
+    for _suffix, _day in (("1", FIRST), ("2", SECOND)):
+        VIEWS[f"btag{_suffix}_{_name}"] = _tagged(
+            f"select *, {_record}, {_failed(_keys, EVENT_DATE.get(_name))} as failed from raw{_suffix}_{_name}",
+            _listed, _keys, _raw_order,
+        )
+        _parsed = ", ".join(f"{e} as {c}" for c, e in STANDARD[_name])
+        _more = "".join(f", {e} as {c}" for c, e in APPENDED.get(_name, ()))
+        _typed = f"select {_parsed}, {_day} as processing_date{_more}, record from btag{_suffix}_{_name} where rule is null"
+        _surrogate = "".join(f", {e} as {c}" for c, e in KEYS_OF.get(_name, ()))
+        VIEWS[f"stag{_suffix}_{_name}"] = _tagged(
+            f"select *{_surrogate}, {_failed(MANDATORY[_name])} as failed from ({_typed})",
+            silver_columns(_name), MERGE_KEY[_name], _silver_order,
+        )
+        VIEWS[f"taken{_suffix}_{_name}"] = f"select * exclude (record, rule) from stag{_suffix}_{_name} where rule is null"
+    (_key,) = MERGE_KEY[_name]
+    VIEWS[f"after_{_name}"] = merged(f"taken1_{_name}", f"taken2_{_name}", (_key,))
+    VIEWS[f"did_{_name}"] = f"""select a.{_key}, case when s.{_key} is null then 'keep' when t.{_key} is null then 'insert'
+        else 'update' end as action from after_{_name} a left join taken1_{_name} t on a.{_key} = t.{_key}
+        left join taken2_{_name} s on a.{_key} = s.{_key}"""
+
 # Gold ------------------------------------------------------------------------------------
 
 _AGE = "datesub('year', birthdate, date '2019-04-30')"
@@ -327,6 +379,13 @@ VIEWS["fact_sales"] = """
     from (select *, hour(try_cast('1970-01-01 ' || transaction_time as timestamp)) as h from silver_sales)"""
 VIEWS["fact_sales"] = VIEWS["fact_sales"].replace("select *, case when h", "select * exclude (h), case when h", 1)
 
+STAR = {
+    "dim_customer": "customer", "dim_employee": "employee", "fact_inventory": "food_inventory", "dim_product": "product",
+    "fact_sales": "sales", "dim_store": "store",
+}
+for _table, _name in STAR.items():
+    VIEWS[f"after_{_table}"] = re.sub(rf"\bsilver_{_name}\b", f"after_{_name}", VIEWS[_table])
+
 
 def statement(body: str) -> str:
     """``body`` preceded by the relations it needs, directly or through others."""

@@ -9,7 +9,7 @@ from tillstone.registry import QUERIES
 SF = "/root/testdata/sf0.001"
 LAZY = (
     "silver_sales", "fact_sales", "fact_inventory", "dim_customer", "sales_star", "inventory_star", "upsert_surrogate_key",
-    "product_mix", "customer_demographics", "transaction_volume", "top_products_selling_out", "dq_audit", "reject_log",
+    "product_mix", "customer_demographics", "transaction_volume", "top_products_selling_out", "dq_audit",
     "check_referential_integrity", "key_uniqueness_audit", "merge_metrics",
 )
 
@@ -38,11 +38,6 @@ def test_merge_reuses_the_partitioning_of_the_dedup(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(sales_key", below_join)) == 2
 
 
-def test_first_merge_into_an_empty_table_is_free(spark):
-    plan = _plan(QUERIES["fact_sales"](spark, SF))
-    assert "FullOuter" not in plan
-
-
 def test_facts_are_added_up_before_they_meet_a_dimension(spark):
     plan = _plan(QUERIES["customer_demographics"](spark, SF))
     join = plan.index("LeftOuter")

@@ -13,6 +13,12 @@ def _named(column: str) -> Column:
     return F.col(f"`{column}`")
 
 
+def total_order(columns, keys, latest_by=()) -> list[Column]:
+    """Newest first by the ``latest_by`` columns, then by all columns that are left: no two different rows tie."""
+    rest = [c for c in columns if c not in keys and c not in latest_by]
+    return [_named(c).desc_nulls_last() for c in latest_by] + [_named(c).asc_nulls_last() for c in rest]
+
+
 def keep_one(df: DataFrame, keys, latest_by=(), prefer: Sequence[Column] = ()) -> DataFrame:
     """One row per key (NULL keys group together), chosen by a total order.
 
@@ -22,9 +28,7 @@ def keep_one(df: DataFrame, keys, latest_by=(), prefer: Sequence[Column] = ()) -
     per key *before* the shuffle, so a key with a huge number of copies
     reaches its reducer as one row per map task.
     """
-    rest = [c for c in df.columns if c not in keys and c not in latest_by]
-    order = [_named(c).desc_nulls_last() for c in latest_by] + [_named(c).asc_nulls_last() for c in rest]
-    order = [c.desc_nulls_last() for c in prefer] + order
+    order = [c.desc_nulls_last() for c in prefer] + total_order(df.columns, keys, latest_by)
     if not order:
         return df.dropDuplicates(list(keys))
     window = Window.partitionBy(*[_named(k) for k in keys]).orderBy(*order)
@@ -68,6 +72,45 @@ def failed_columns(columns) -> Column:
     return F.concat_ws(",", *[F.when(_named(c).isNull(), F.lit(c)) for c in columns])
 
 
+RULE = "rule"
+
+
+def triage(
+    df: DataFrame,
+    mandatory,
+    keys,
+    latest_by=(),
+    prefer: Sequence[Column] = (),
+    refuse: dict[str, Column] | None = None,
+    order_columns=None,
+    salts: int = 8,
+) -> DataFrame:
+    """``df`` with ``rule``: what a row fails, NULL for the one row of each key that stays.
+
+    ``refuse`` names conditions that rule a row out before the mandatory columns
+    are looked at. The survivor is that of ``keep_one`` (of the rows that
+    fail nothing), by a total order over ``order_columns`` (default: all).
+    One window over salted keys ranks copies where they are dealt, a second one
+    ranks the winners of the salts; a row that is out goes on under a number of its
+    own. So neither a hot key nor a mass of rows without a key meets in one task.
+    """
+    missing = failed_columns(mandatory)
+    failed = F.when(missing != "", F.concat(F.lit("null:"), missing))
+    for rule, bad in reversed((refuse or {}).items()):
+        failed = F.when(bad, F.lit(rule)).otherwise(failed)
+    ranks = {f"_prefer{i}": c for i, c in enumerate(prefer)}
+    order = [F.col(c).desc_nulls_last() for c in ranks] + total_order(order_columns or df.columns, keys, latest_by) + [F.col("_row")]
+    named = [_named(k) for k in keys]
+    rows = df.withColumns(ranks | {RULE: failed, "_row": F.monotonically_increasing_id()})
+    rows = rows.withColumn("_salt", F.when(F.col(RULE).isNull(), F.pmod("_row", F.lit(salts))).otherwise(F.col("_row") + salts))
+    rows = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*named, "_salt").orderBy(*order)))
+    stays = F.col(RULE).isNull() & (F.col("_rank") == 1)
+    rows = rows.withColumn("_salt", F.when(~stays, F.col("_row")))
+    rows = rows.withColumn("_last", F.row_number().over(Window.partitionBy(*named, "_salt").orderBy(*order)))
+    copy = F.when((F.col("_rank") > 1) | (F.col("_last") > 1), F.lit("duplicate:" + ",".join(keys)))
+    return rows.select(*[_named(c) for c in df.columns], F.coalesce(F.col(RULE), copy).alias(RULE))
+
+
 def split_rejects(df: DataFrame, mandatory, keys, latest_by=()) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and a log of every other row with the rule it failed and its copies."""
     valid = keep_complete(df, mandatory, keys, latest_by)

@@ -7,6 +7,7 @@ first if reruns must not insert it again.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +34,7 @@ class Upsert:
         self._source: DataFrame | None = None
         self._keys: tuple[str, ...] = ()
         self._updates: dict[str, str | Column] | None = None
+        self._condition: str | None = None
         self._inserts: dict[str, str | Column] | None = None
         self._duplicates = "error"
         self._latest_by: tuple[str, ...] = ()
@@ -56,8 +58,12 @@ class Upsert:
         self._duplicates, self._latest_by = policy, tuple(latest_by)
         return self
 
-    def when_matched_update(self, assignments: dict[str, str | Column] | None = None) -> Upsert:
+    def when_matched_update(
+        self, assignments: dict[str, str | Column] | None = None, condition: str | None = None
+    ) -> Upsert:
+        """Update matched rows, or of these only the ones for which ``condition`` (over ``source.x`` and ``target.x``) is true."""
         self._updates = self._all_from_source(self._non_keys()) if assignments is None else dict(assignments)
+        self._condition = condition
         return self
 
     def when_not_matched_insert(self, assignments: dict[str, str | Column] | None = None) -> Upsert:
@@ -100,6 +106,9 @@ class Upsert:
     def _marked_target(self) -> DataFrame:
         return self._target.withColumn("_in_target", F.lit(True)).alias("target")
 
+    def _matched(self) -> str:
+        return _MATCHED if self._condition is None else f"{_MATCHED} AND ({self._condition})"
+
     def _same_key(self) -> Column:
         return F.expr(" AND ".join(f"target.`{k}` = source.`{k}`" for k in self._keys))
 
@@ -109,7 +118,7 @@ class Upsert:
         if self._inserts is not None:
             branches.append((_NEW, self._inserts.get(field.name, "null")))
         if field.name in (self._updates or {}):
-            branches.append((_MATCHED, self._updates[field.name]))
+            branches.append((self._matched(), self._updates[field.name]))
         kept = f"target.`{field.name}`"
         if all(isinstance(value, str) for _, value in branches):
             # One text instead of many small calls: building wide merges is noticeably faster.
@@ -123,7 +132,7 @@ class Upsert:
 
     def _action(self) -> Column:
         on_match = "keep" if self._updates is None else "update"
-        return F.expr(f"CASE WHEN {_NEW} THEN 'insert' WHEN {_MATCHED} THEN '{on_match}' ELSE 'keep' END AS {ACTION}")
+        return F.expr(f"CASE WHEN {_NEW} THEN 'insert' WHEN {self._matched()} THEN '{on_match}' ELSE 'keep' END AS {ACTION}")
 
     def _as_inserts(self, rows: DataFrame) -> DataFrame:
         """Source rows that are known to match nothing, as inserted rows."""
@@ -143,12 +152,25 @@ class Upsert:
         pairs = [F.col(f"{table}.`{k}`") == F.col(f"source.`{k}`") for k in self._keys]
         writer = source.mergeInto(table, reduce(lambda a, b: a & b, pairs))
         if self._updates is not None:
-            writer = writer.whenMatched().update({c: _expression(v) for c, v in self._updates.items()})
+            condition = None if self._condition is None else F.expr(in_catalog(self._condition, table))
+            writer = writer.whenMatched(condition).update(self._catalog_assignments(self._updates, table))
         if self._inserts is not None:
-            writer = writer.whenNotMatched().insert({c: _expression(v) for c, v in self._inserts.items()})
+            writer = writer.whenNotMatched().insert(self._catalog_assignments(self._inserts, table))
         writer.merge()
 
 
+    @staticmethod
+    def _catalog_assignments(values: dict[str, str | Column], table: str) -> dict[str, Column]:
+        return {c: F.expr(in_catalog(v, table)) if isinstance(v, str) else v for c, v in values.items()}
+
+
+def in_catalog(text: str, table: str) -> str:
+    """An expression over ``target.x`` as a catalog knows it, by the name of the table; quoted text stays."""
+    pieces = re.split(r"('(?:[^'\\]|\\.)*')", text)
+    known = re.compile(r"(?<![\w.`])`?target`?\s*\.\s*(?=[\w`])", re.IGNORECASE)
+    return "".join(p if p.startswith("'") else known.sub(lambda _: f"{table}.", p) for p in pieces)
+
+
 def _expression(value: str | Column) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
@@ -182,11 +204,13 @@ def upsert(
     duplicates: str = "error",
     latest_by=(),
     with_actions: bool = False,
+    condition: str | None = None,
 ) -> DataFrame:
     """``target`` after merging ``source`` on ``keys``.
 
-    ``update_cols`` limits what a match changes; ``overrides`` sets columns
-    (such as ``processing_date``) of every inserted or updated row.
+    ``update_cols`` limits what a match changes, ``condition`` which matches
+    change anything; ``overrides`` sets columns (such as ``processing_date``)
+    of every inserted or updated row.
     """
     overrides = overrides or {}
     available = set(source.columns)
@@ -198,7 +222,7 @@ def upsert(
         .using(source)
         .on(*keys)
         .duplicates(duplicates, latest_by)
-        .when_matched_update(updates)
+        .when_matched_update(updates, condition)
         .when_not_matched_insert(inserts)
     )
     return merge.with_actions() if with_actions else merge.to_df()

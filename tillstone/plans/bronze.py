@@ -1,7 +1,8 @@
 """Landing to bronze: the batch as text, one row per natural key, merged by that key.
 
 Bronze keeps every column as text; types are given once, in silver, where
-the date and number rules can still see what was delivered.
+the date and number rules can still see what was delivered. Rows that do not
+come in are logged with the rule they failed.
 """
 
 from __future__ import annotations
@@ -9,17 +10,18 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstone.functions import rules
-from tillstone.operators.quality import keep_one, require_not_null
+from tillstone.operators.quality import keep_one, require_not_null, triage
 from tillstone.operators.upsert import upsert
 from tillstone.schemas import Dataset
 from tillstone.sources.landing import stamp_processing_date
 from tillstone.sources.readers import scan_one_partition
-from tillstone.sources.tables import TableStore
+from tillstone.sources.quality_log import QualityLog
+from tillstone.sources.tables import NOT_OLDER, TableStore, month_part
 
 
 def bronze_schema(dataset: Dataset) -> T.StructType:
@@ -31,36 +33,71 @@ def keyed_rows(landing: DataFrame, dataset: Dataset) -> DataFrame:
     return require_not_null(landing.select(*[F.col(f"`{c}`") for c in dataset.raw_columns]), dataset.natural_key)
 
 
+def _preferred(dataset: Dataset, as_of: date | None) -> list[Column]:
+    """Rows that silver can use come first, and of these the latest by the dates as silver reads them."""
+    today = F.current_date() if as_of is None else F.lit(as_of)
+    latest = [rules.clean_date(F.col(f"`{c}`"), today) for c in dataset.latest_by]
+    filled = reduce(lambda a, b: a & b, [F.coalesce(F.trim(f"`{c}`") != "", F.lit(False)) for c in dataset.mandatory])
+    return [filled, *latest]
+
+
 def bronze_batch(landing: DataFrame, dataset: Dataset, day: date, as_of: date | None = None) -> DataFrame:
     """One row per natural key: one that silver can use if there is any, and of these the latest.
 
     The dates that decide are read as silver reads them, so one that silver
     refuses (later than ``as_of``, today by default) never wins.
     """
-    today = F.current_date() if as_of is None else F.lit(as_of)
-    latest = [rules.clean_date(F.col(f"`{c}`"), today) for c in dataset.latest_by]
-    filled = reduce(lambda a, b: a & b, [F.coalesce(F.trim(f"`{c}`") != "", F.lit(False)) for c in dataset.mandatory])
-    rows = keep_one(keyed_rows(landing, dataset), dataset.natural_key, prefer=[filled, *latest])
+    rows = keep_one(keyed_rows(landing, dataset), dataset.natural_key, prefer=_preferred(dataset, as_of))
     return stamp_processing_date(rows, day)
 
 
+def tagged_batch(landing: DataFrame, dataset: Dataset, as_of: date | None = None) -> DataFrame:
+    """Every delivered row with ``rule``, NULL for those of ``bronze_batch``.
+
+    A row whose event date is no real one (unreadable, before 1900 or later than
+    ``as_of``) is refused here: its month would not be one of the calendar.
+    """
+    today = F.current_date() if as_of is None else F.lit(as_of)
+    refuse = {}
+    if dataset.event_date:
+        text = F.col(f"`{dataset.event_date}`")
+        refuse[f"date:{dataset.event_date}"] = text.isNotNull() & rules.clean_date(text, today).isNull()
+    rows = landing.select(*[F.col(f"`{c}`") for c in dataset.raw_columns])
+    return triage(rows, dataset.natural_key, dataset.natural_key, prefer=_preferred(dataset, as_of), refuse=refuse)
+
+
+def bronze_steps(dataset: Dataset) -> tuple[str, ...]:
+    return ("null", "date", "duplicate") if dataset.event_date else ("null", "duplicate")
+
+
 def merge_bronze(target: DataFrame, batch: DataFrame, dataset: Dataset, day: date) -> DataFrame:
     stamp = {"processing_date": F.lit(day)}
     return upsert(target, batch, dataset.natural_key, overrides=stamp, duplicates="unique")
 
 
-def load_bronze(
-    spark: SparkSession, store: TableStore, landing_root: str, dataset: Dataset, day: date, as_of: date | None = None
-) -> dict[str, int]:
-    """Merge the landing partition of ``day`` into the bronze table."""
-    landing = scan_one_partition(spark, landing_root, dataset, day)
+def merge_landing(store: TableStore, landing: DataFrame, dataset: Dataset, day: date, as_of: date | None = None) -> dict[str, int]:
+    """Log what the rows of one landing batch fail, and merge the others into the bronze table.
+
+    A row that a later batch has changed is left alone.
+    """
+    part = month_part(dataset.event_date) if dataset.event_date else None
+    log = QualityLog(store.spark, store.root)
+    batch = log.sort(tagged_batch(landing, dataset, as_of), dataset.name, day, bronze_steps(dataset), part)
     return store.upsert(
         dataset.bronze_table,
         bronze_schema(dataset),
-        bronze_batch(landing, dataset, day, as_of),
+        stamp_processing_date(batch.valid, day),
         dataset.natural_key,
         part_column=dataset.event_date,
-        overrides={"processing_date": F.lit(day)},
         duplicates="unique",
-        parts_from=keyed_rows(landing, dataset),
+        parts=batch.parts,
+        batch_date=day,
+        condition=NOT_OLDER,
     )
+
+
+def load_bronze(
+    spark: SparkSession, store: TableStore, landing_root: str, dataset: Dataset, day: date, as_of: date | None = None
+) -> dict[str, int]:
+    """Merge the landing partition of ``day`` into the bronze table."""
+    return merge_landing(store, scan_one_partition(spark, landing_root, dataset, day), dataset, day, as_of)

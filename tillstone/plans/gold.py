@@ -94,9 +94,8 @@ def enrich_store(silver: DataFrame) -> DataFrame:
     return silver.withColumn("store_full_address", enrich.store_full_address(*parts))
 
 
+_AGED = {"dim_customer": enrich_customer, "dim_employee": enrich_employee}
 _ENRICH = {
-    "dim_customer": enrich_customer,
-    "dim_employee": enrich_employee,
     "fact_inventory": enrich_inventory,
     "dim_product": enrich_product,
     "fact_sales": enrich_sales,
@@ -106,9 +105,10 @@ _ENRICH = {
 }
 
 
-def build_gold(name: str, silver: DataFrame) -> DataFrame:
-    """The enriched batch under the contract of the gold table."""
-    return project_contract(_ENRICH[name](silver), GOLD[name].schema)
+def build_gold(name: str, silver: DataFrame, ref_date: date = enrich.REFERENCE_DATE) -> DataFrame:
+    """The enriched batch under the contract of the gold table; ages and years of service as of ``ref_date``."""
+    enriched = _AGED[name](silver, ref_date) if name in _AGED else _ENRICH[name](silver)
+    return project_contract(enriched, GOLD[name].schema)
 
 
 def merge_gold(name: str, target: DataFrame, batch: DataFrame) -> Upsert:

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tillstone.functions.enrich import REFERENCE_DATE
 from tillstone.plans.bronze import bronze_schema, load_bronze
 from tillstone.plans.gold import GOLD, build_gold
-from tillstone.plans.silver import clean, standardise
+from tillstone.plans.silver import DELIVERED, STEPS, tagged_batch
 from tillstone.schemas import DATASETS, Dataset
-from tillstone.sources.landing import ingest_batch_all
-from tillstone.sources.tables import TableStore
+from tillstone.sources.landing import land_batch
+from tillstone.sources.quality_log import QualityLog
+from tillstone.sources.tables import NOT_OLDER, TableStore, month_part
 
 
 @dataclass(frozen=True)
@@ -25,6 +29,8 @@ class Batch:
     batch_month: str
     processing_date: date
     as_of: date | None = None
+    #: The day on which ages and years of service are counted.
+    ref_date: date = REFERENCE_DATE
 
     @property
     def landing_root(self) -> str:
@@ -33,21 +39,29 @@ class Batch:
     def store(self, spark: SparkSession, layer: str) -> TableStore:
         return TableStore(spark, f"{self.lake_root}/{layer}")
 
+    def quality(self, spark: SparkSession, layer: str) -> QualityLog:
+        """Reject log and audit of a layer that drops rows: bronze or silver."""
+        return QualityLog(spark, f"{self.lake_root}/{layer}")
+
 
 def load_silver(spark: SparkSession, batch: Batch, dataset: Dataset) -> dict[str, int]:
-    """Merge the rows bronze took in with this batch into the silver table."""
+    """Merge the rows bronze took in with this batch into the silver table; what they fail goes to the reject log."""
     day = batch.processing_date
     rows = batch.store(spark, "bronze").read_incremental(dataset.bronze_table, bronze_schema(dataset), day)
-    raw = rows.drop("processing_date")
-    return batch.store(spark, "silver").upsert(
+    store = batch.store(spark, "silver")
+    tagged = tagged_batch(rows.drop("processing_date"), dataset, day, batch.as_of)
+    part = month_part(dataset.event_date) if dataset.event_date else None
+    found = batch.quality(spark, "silver").sort(tagged, dataset.name, day, STEPS, part, only_rejects=(DELIVERED,))
+    return store.upsert(
         dataset.silver_table,
         dataset.silver,
-        clean(raw, dataset, day, batch.as_of),
+        found.valid,
         dataset.silver_key,
         part_column=dataset.event_date,
-        overrides={"processing_date": F.lit(day)},
-        parts_from=standardise(raw, dataset, day, batch.as_of),
         duplicates="unique",
+        parts=found.parts,
+        batch_date=day,
+        condition=NOT_OLDER,
     )
 
 
@@ -59,12 +73,26 @@ def load_gold(spark: SparkSession, batch: Batch, table: str) -> dict[str, int]:
     return batch.store(spark, "gold").upsert(
         table,
         gold.schema,
-        build_gold(table, rows),
+        build_gold(table, rows, batch.ref_date),
         (gold.key,),
         part_column=gold.event_date,
+        duplicates="unique",
+        batch_date=batch.processing_date,
+        condition=NOT_OLDER,
     )
 
 
+def load_dataset(spark: SparkSession, batch: Batch, dataset: Dataset) -> dict[str, dict[str, int]]:
+    """What has been landed of a dataset with this batch, into bronze, silver and gold; merge metrics per table."""
+    bronze = batch.store(spark, "bronze")
+    metrics = {
+        dataset.bronze_table: load_bronze(spark, bronze, batch.landing_root, dataset, batch.processing_date, batch.as_of),
+        dataset.silver_table: load_silver(spark, batch, dataset),
+    }
+    tables = [name for name, gold in GOLD.items() if gold.source == dataset.name]
+    return metrics | {name: load_gold(spark, batch, name) for name in tables}
+
+
 def load_calendars(spark: SparkSession, batch: Batch, calendar: DataFrame) -> dict[str, dict[str, int]]:
     """Both calendars have the same rows, each with a table of its own."""
     store = batch.store(spark, "gold")
@@ -75,26 +103,66 @@ def load_calendars(spark: SparkSession, batch: Batch, calendar: DataFrame) -> di
     }
 
 
+class BatchFailed(RuntimeError):
+    """Some datasets of a run failed; the others are done. ``failures`` by dataset, ``metrics`` per table of the others."""
+
+    def __init__(self, failures: dict[str, Exception], metrics: dict[str, dict[str, int]]):
+        super().__init__("; ".join(f"{name}: {type(e).__name__}: {str(e)[:300]}" for name, e in failures.items()))
+        self.failures, self.metrics = failures, metrics
+
+
+def each_dataset(
+    spark: SparkSession, names, work: Callable[[Dataset], dict[str, dict[str, int]]], threads: int = 3
+) -> dict[str, dict[str, int]]:
+    """``work`` for each named dataset, several at a time; datasets share no table, so none waits for another.
+
+    Each runs as a job group in a pool of its own, so that under fair scheduling a
+    small lookup does not queue behind a fact table. A failure ends its dataset only.
+    """
+    names, metrics, failures = list(names), {}, {}
+
+    def one(name: str) -> dict[str, dict[str, int]]:
+        spark.sparkContext.setJobGroup(f"dataset {name}", f"load {name}")
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return work(DATASETS[name])
+
+    with ThreadPoolExecutor(max(1, min(threads, len(names)))) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(one), name) for name in names}
+    for name, future in running.items():
+        error = future.exception()
+        if error is None:
+            metrics |= future.result()
+        else:
+            failures[name] = error
+    if failures:
+        raise BatchFailed(failures, metrics)
+    return metrics
+
+
 def run_batch(
-    spark: SparkSession, batch: Batch, calendar: DataFrame | None = None, names=None
+    spark: SparkSession, batch: Batch, calendar: DataFrame | None = None, names=None, threads: int = 3
 ) -> dict[str, dict[str, int]]:
-    """Run a batch of the named datasets (all by default); merge metrics per table.
+    """Run a batch of the named datasets (all by default), ``threads`` at a time; merge metrics per table.
 
-    Datasets without data in this batch are skipped.
+    Datasets without data in this batch are skipped. Where some fail, the others are
+    loaded all the same, the calendars too, and ``BatchFailed`` tells which.
     """
-    landed = ingest_batch_all(
-        spark, batch.raw_root, batch.landing_root, batch.batch_month, batch.processing_date, names
-    )
-    metrics: dict[str, dict[str, int]] = {}
-    for dataset in (DATASETS[name] for name, has_data in landed.items() if has_data):
-        bronze = batch.store(spark, "bronze")
-        metrics[dataset.bronze_table] = load_bronze(
-            spark, bronze, batch.landing_root, dataset, batch.processing_date, batch.as_of
-        )
-        metrics[dataset.silver_table] = load_silver(spark, batch, dataset)
-        for table, gold in GOLD.items():
-            if gold.source == dataset.name:
-                metrics[table] = load_gold(spark, batch, table)
+    for layer in ("bronze", "silver", "gold"):
+        batch.store(spark, layer)
+    for layer in ("bronze", "silver"):
+        batch.quality(spark, layer)
+
+    def work(dataset: Dataset) -> dict[str, dict[str, int]]:
+        landed = land_batch(spark, batch.raw_root, batch.landing_root, dataset, batch.batch_month, batch.processing_date)
+        return load_dataset(spark, batch, dataset) if landed else {}
+
+    failed = None
+    try:
+        metrics = each_dataset(spark, names or DATASETS, work, threads)
+    except BatchFailed as error:
+        failed, metrics = error, error.metrics
     if calendar is not None:
         metrics |= load_calendars(spark, batch, calendar)
+    if failed:
+        raise failed
     return metrics

@@ -15,11 +15,15 @@ from pyspark.sql import types as T
 from tillstone.functions import casts, keys, rules
 from tillstone.functions.enrich import REFERENCE_DATE
 from tillstone.operators.projection import drop_helper_columns, lowercase_headers, project_contract, trim_all
-from tillstone.operators.quality import keep_complete, split_rejects
+from tillstone.operators.quality import keep_complete, split_rejects, triage
 from tillstone.operators.upsert import upsert
 from tillstone.schemas import DATASETS, Dataset
 
 
+DELIVERED = "delivered"
+STEPS = ("null", "duplicate")
+
+
 def _text(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -70,7 +74,7 @@ def standardise(raw: DataFrame, dataset: Dataset, processing_date: date, as_of:
     columns |= _SPECIFIC.get(dataset.name, lambda _: {})(columns)
     columns["processing_date"] = F.lit(processing_date)
     standard = drop_helper_columns(text.withColumns(columns), *_helpers(dataset))
-    typed = casts.apply_schema(standard, dataset.silver)
+    typed = casts.apply_schema(standard, T.StructType([*dataset.silver, *(raw.schema[c] for c in raw.columns if c == DELIVERED)]))
     return typed.withColumns(_key_columns(dataset))
 
 
@@ -97,6 +101,20 @@ def clean(raw: DataFrame, dataset: Dataset, processing_date: date = REFERENCE_DA
     return project_contract(valid, dataset.silver)
 
 
+def tagged_batch(raw: DataFrame, dataset: Dataset, processing_date: date, as_of: date | None = None) -> DataFrame:
+    """The standardised rows with ``rule``, NULL for those of ``clean``, and ``delivered``: the text of their keys and mandatory columns."""
+    identity = F.struct(*[_text(c) for c in dataset.identity])
+    standard = standardise(raw.withColumn(DELIVERED, identity), dataset, processing_date, as_of)
+    columns = [f.name for f in dataset.silver]
+    return triage(standard, dataset.mandatory, dataset.silver_key, dataset.latest_by, order_columns=columns)
+
+
+def delivered_schema(dataset: Dataset) -> T.StructType:
+    """What the reject log of silver holds of a row."""
+    text = T.StructType([T.StructField(c, T.StringType()) for c in dataset.identity])
+    return T.StructType([*dataset.silver, T.StructField(DELIVERED, text)])
+
+
 def clean_with_rejects(
     raw: DataFrame, dataset: Dataset, processing_date: date = REFERENCE_DATE, as_of: date | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tillstone.functions import casts, enrich, keys, rules
 from tillstone.operators import projection, quality
-from tillstone.operators.upsert import Upsert, merge_metrics, upsert
-from tillstone.plans import analytics, bronze, gold, silver
+from tillstone.operators.upsert import ACTION, Upsert, merge_metrics, upsert
+from tillstone.plans import analytics, bronze, gold, medallion, silver
 from tillstone.plans.calendar import calendar_spine, with_date_id
 from tillstone.schemas import DATASETS, DIM_STORE, Dataset
 from tillstone.session import new_workspace
@@ -80,6 +80,27 @@ def landed_batches(spark: SparkSession, sf_dir: str, dataset: Dataset, workspace
     return root
 
 
+def run_lake(spark: SparkSession, sf_dir: str, names=tuple(DATASETS), layers: int = 2) -> list[medallion.Batch]:
+    """Both batches of the named datasets from landing into bronze, silver and (``layers`` 3) gold of a fresh lake."""
+    workspace = new_workspace(spark, "lake")
+    batches = [medallion.Batch(f"{workspace}/raw", workspace, str(day)[:7], day, DAY) for day in (FIRST_DAY, SECOND_DAY)]
+    for name in names:
+        landed_batches(spark, sf_dir, DATASETS[name], workspace)
+    for batch in batches:
+        for layer in ("bronze", "silver", "gold"):
+            batch.store(spark, layer)
+            batch.quality(spark, layer)
+
+        def load(dataset: Dataset, batch: medallion.Batch = batch) -> dict[str, dict[str, int]]:
+            if layers == 3:
+                return medallion.load_dataset(spark, batch, dataset)
+            bronze.load_bronze(spark, batch.store(spark, "bronze"), batch.landing_root, dataset, batch.processing_date, DAY)
+            return {dataset.silver_table: medallion.load_silver(spark, batch, dataset)}
+
+        medallion.each_dataset(spark, names, load)
+    return batches
+
+
 def extract(spark: SparkSession, sf_dir: str, dataset: Dataset, workspace: str) -> str:
     """Write the raw extract of a dataset as CSV; the raw root."""
     root = f"{workspace}/raw"
@@ -131,6 +152,14 @@ def scan_table_incremental(spark, sf_dir):
     return store.read_incremental(dataset.bronze_table, bronze.bronze_schema(dataset), SECOND_DAY)
 
 
+@query
+def scan_months_incremental(spark, sf_dir):
+    """The second batch out of a table of many months; only the months it changed are opened."""
+    dataset = DATASETS["food_inventory"]
+    store = bronze_store(spark, sf_dir, dataset)
+    return store.read_incremental(dataset.bronze_table, bronze.bronze_schema(dataset), SECOND_DAY)
+
+
 @query
 def write_partitioned_append(spark, sf_dir):
     """Two batches in, the second one twice: the rerun replaces its own partition."""
@@ -409,10 +438,32 @@ def strip_special_chars(spark, sf_dir):
     )
 
 
+def _rejects(batch: medallion.Batch, spark: SparkSession, dataset: Dataset, layer: str) -> DataFrame:
+    """The rejects of a dataset in a layer, told by the delivered text of their keys and mandatory columns."""
+    log = batch.quality(spark, layer)
+    if layer == "bronze":
+        rows, of = log.rejects(dataset.name, dataset.raw_schema), "`{}`"
+    else:
+        rows, of = log.rejects(dataset.name, silver.delivered_schema(dataset)), "delivered.`{}`"
+    told = [F.coalesce(F.col(of.format(c)), F.lit("<null>")) for c in dataset.identity]
+    rows = rows.select("processing_date", "rule", F.concat_ws("|", *told).alias("record"))
+    counted = rows.groupBy("processing_date", "rule", "record").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.withColumns({"dataset": F.lit(dataset.name), "layer": F.lit(layer)})
+
+
 @query
 def reject_log(spark, sf_dir):
-    dataset = DATASETS["customer"]
-    return silver.clean_with_rejects(raw(spark, sf_dir, "customer"), dataset, DAY, DAY)[1]
+    """Every row that two batches of all datasets lost in bronze or silver, with the rule it failed."""
+    last = run_lake(spark, sf_dir)[-1]
+    return _union([_rejects(last, spark, d, layer) for d in DATASETS.values() for layer in ("bronze", "silver")])
+
+
+@query
+def run_audit(spark, sf_dir):
+    """Rows in, out and dropped by rule, of two batches of all datasets, as their runs have observed them."""
+    last = run_lake(spark, sf_dir)[-1]
+    layers = [last.quality(spark, layer).audit().withColumn("layer", F.lit(layer)) for layer in ("bronze", "silver")]
+    return _union(layers).drop("load", "committed_at")
 
 
 # Keys ------------------------------------------------------------------------------------
@@ -581,6 +632,50 @@ for _table in gold.GOLD:
     _gold(_table)
 
 
+# Second batches: the tables as the load path leaves them, and what the second merge did with each row.
+
+
+def _second(name: str, dataset: Dataset, table: str, schema, layer: str) -> None:
+    def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+        last = run_lake(spark, sf_dir, (dataset.name,), 3 if layer == "gold" else 2)[-1]
+        return last.store(spark, layer).read_with_actions(table, schema).withColumnRenamed(ACTION, "action")
+
+    _register(f"{name}_second_batch", rows)
+
+
+for _dataset in DATASETS.values():
+    _short = "inventory" if _dataset.name == "food_inventory" else _dataset.name
+    _second(f"silver_{_short}", _dataset, _dataset.silver_table, _dataset.silver, "silver")
+for _table, _gold_table in gold.GOLD.items():
+    if _gold_table.source in DATASETS:
+        _second(_table, DATASETS[_gold_table.source], _table, _gold_table.schema, "gold")
+
+
+def _second_calendar(table: str) -> None:
+    def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+        batches = run_lake(spark, sf_dir, ())
+        for batch in batches:
+            medallion.load_calendars(spark, batch, calendar(spark, sf_dir))
+        stored = batches[-1].store(spark, "gold").read_with_actions(table, gold.GOLD[table].schema)
+        return stored.withColumnRenamed(ACTION, "action")
+
+    _register(f"{table}_second_batch", rows)
+
+
+for _table in ("baked_calendar", "transaction_calendar"):
+    _second_calendar(_table)
+
+
+@query
+def gold_merge_metrics(spark, sf_dir):
+    """Inserted, updated and deleted rows of both merges into each table of the star."""
+    batches = run_lake(spark, sf_dir, layers=3)
+    for batch in batches:
+        medallion.load_calendars(spark, batch, calendar(spark, sf_dir))
+    store = batches[-1].store(spark, "gold")
+    return _union([store.history(table) for table in gold.GOLD]).filter("operation = 'MERGE'").drop("operation", "committed_at")
+
+
 @query
 def date_spine_454(spark, sf_dir):
     return calendar(spark, sf_dir)

@@ -251,6 +251,11 @@ class Dataset:
     def raw_schema(self) -> T.StructType:
         return T.StructType([T.StructField(c, T.StringType()) for c in self.raw_columns])
 
+    @property
+    def identity(self) -> list[str]:
+        """The columns by which a delivered row is told from others: its key and what it must have."""
+        return list(dict.fromkeys((*self.natural_key, *self.mandatory)))
+
     @property
     def bronze_table(self) -> str:
         return f"{self.name}_bronze"

@@ -22,6 +22,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Datasets of a run are loaded side by side, each in a pool of its own.
+        .config("spark.scheduler.mode", "FAIR")
         # Recording the Python line of every expression doubles the time to build wide projections.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -4,22 +4,28 @@ A merge writes a new snapshot next to the old one and then appends one row
 per written part to the merge log. The log row is the commit: readers only
 open snapshots the log names, so a job that dies half-way leaves the table
 as it was. Tables with an event date are divided by month; a batch reads and
-rewrites only the months it touches. One writer per table is assumed.
+rewrites only the months it touches. The log says which months a batch date
+changed, so an incremental read opens no others. The files keep what the last
+merge did with each row. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstone.functions.rules import normalise_date
 from tillstone.operators.upsert import ACTION, upsert
 
 PART = "part"
 WHOLE_TABLE = "all"
+UNDATED = "undated"
+#: A batch older than what the table has of a row does not take it back.
+NOT_OLDER = "target.processing_date IS NULL OR source.processing_date >= target.processing_date"
 COUNTS = ("rows_inserted", "rows_updated", "rows_deleted")
 
 LOG_SCHEMA = T.StructType(
@@ -30,14 +36,20 @@ LOG_SCHEMA = T.StructType(
         T.StructField("operation", T.StringType()),
         *[T.StructField(c, T.LongType()) for c in COUNTS],
         T.StructField("committed_at", T.TimestampType()),
+        T.StructField("batch_date", T.DateType()),
+        T.StructField("changed", T.BooleanType()),
     ]
 )
 
 
 def month_part(column: str) -> Column:
-    """Month of an event date (date or ISO text); text in another form shares one part."""
-    text = F.col(f"`{column}`").cast("string")
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.substring(text, 1, 7)).otherwise(F.lit("other"))
+    """Month of an event date: a date, or text in any of the delivered forms, read as silver reads it.
+
+    Loads refuse rows without a real date before they come here; what
+    other callers bring without one shares the part ``undated``.
+    """
+    day = normalise_date(F.col(f"`{column}`").cast("string"))
+    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit(UNDATED))
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -49,7 +61,8 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        empty_table(spark, LOG_SCHEMA).write.mode("ignore").parquet(self._log_path)
+        # One folder of the log for each table: merges of different tables may commit at the same time.
+        empty_table(spark, LOG_SCHEMA).write.mode("ignore").partitionBy("table_name").parquet(self._log_path)
 
     @property
     def _log_path(self) -> str:
@@ -99,13 +112,20 @@ class TableStore:
     def _snapshot_path(self, name: str, snapshot: int) -> str:
         return f"{self.root}/{name}/snapshot={snapshot}"
 
-    def _commit(self, name: str, snapshot: int, operation: str, metrics: dict[str, int], parts: list[str]) -> None:
+    def _commit(
+        self, name: str, snapshot: int, operation: str, metrics: dict[str, int], parts: list[str],
+        batch_date: date | None = None, changed: Sequence[str] = (),
+    ) -> None:
         """Log the parts of a snapshot; the counts go on the first row. A merge that wrote nothing is not logged."""
         now = datetime.now(timezone.utc)
         counts = [metrics[c] for c in COUNTS]
-        rows = [(name, snapshot, p, operation, *(counts if p == parts[0] else (0, 0, 0)), now) for p in parts]
+        rows = [
+            (name, snapshot, p, operation, *(counts if p == parts[0] else (0, 0, 0)), now, batch_date, p in changed)
+            for p in parts
+        ]
         if rows:
-            self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log_path)
+            log = self.spark.createDataFrame(rows, LOG_SCHEMA).drop("table_name").coalesce(1)
+            log.write.mode("append").parquet(f"{self._log_path}/table_name={name}")
 
     def _read_parts(self, name: str, schema: T.StructType, current: dict[str, int]) -> DataFrame:
         paths = [f"{self._snapshot_path(name, s)}/{PART}={p}" for p, s in current.items() if s > 0]
@@ -125,8 +145,31 @@ class TableStore:
         return self._read_parts(name, schema, current)
 
     def read_incremental(self, name: str, schema: T.StructType, day: date) -> DataFrame:
-        """Rows last touched by the batch of ``day``; the filter reaches the Parquet scan."""
-        return self.read(name, schema).filter(F.col("processing_date") == F.lit(day))
+        """Rows last touched by the batch of ``day``.
+
+        Only parts that a merge of that date changed are opened, merges without
+        a date may have; within them the filter reaches the Parquet scan.
+        """
+        current = self._current(name)
+        if not current:
+            raise LookupError(f"table {name} does not exist; call ensure_table first")
+        of_day = F.col("batch_date").isNull() | ((F.col("batch_date") == F.lit(day)) & F.coalesce("changed", F.lit(True)))
+        touched = self.log().filter((F.col("table_name") == name) & of_day).select(PART).distinct().collect()
+        parts = {r[PART] for r in touched}
+        rows = self._read_parts(name, schema, {p: s for p, s in current.items() if p in parts})
+        return rows.filter(F.col("processing_date") == F.lit(day))
+
+    def read_with_actions(self, name: str, schema: T.StructType) -> DataFrame:
+        """The current rows with ``_action``: what the last merge of the table did with each (insert, update or keep)."""
+        current = self._current(name)
+        if not current:
+            raise LookupError(f"table {name} does not exist; call ensure_table first")
+        last = max(current.values())
+        newest = {p: s for p, s in current.items() if s == last}
+        older = {p: s for p, s in current.items() if s < last}
+        with_action = T.StructType([*schema.fields, T.StructField(ACTION, T.StringType())])
+        kept = self._read_parts(name, schema, older).withColumn(ACTION, F.lit("keep"))
+        return self._read_parts(name, with_action, newest).unionByName(kept)
 
     def upsert(
         self,
@@ -138,27 +181,35 @@ class TableStore:
         overrides: dict[str, Column] | None = None,
         update_cols=None,
         duplicates: str = "error",
+        parts: Sequence[str] | None = None,
         parts_from: DataFrame | None = None,
+        batch_date: date | None = None,
+        condition: str | None = None,
     ) -> dict[str, int]:
         """Merge ``source`` into the table and commit; the metrics of the merge.
 
         ``part_column`` must belong to (or be derived from) the key, so that a
-        row never moves to another month. ``parts_from`` may name a cheaper
-        DataFrame with at least the months of ``source``, such as the rows
-        before deduplication. Repeated source keys fail the job unless the caller
-        has just made them unique and says so with ``duplicates``.
+        row never moves to another month. ``parts`` names at least the months of
+        ``source`` where the caller knows them, else they are looked up first in
+        ``parts_from`` (a cheaper DataFrame with these months) or ``source``.
+        Repeated source keys fail the job unless the caller has just made them
+        unique and says so with ``duplicates``. ``batch_date`` is the
+        ``processing_date`` that changed rows carry; ``condition`` decides which matches change.
         """
         current = self._current(name)
         if not current:
             self._create(name, schema)
             current = {WHOLE_TABLE: 0}
         part: Callable[[], Column] = (lambda: month_part(part_column)) if part_column else (lambda: F.lit(WHOLE_TABLE))
-        if part_column:
-            touched = sorted(r[PART] for r in (source if parts_from is None else parts_from).select(part().alias(PART)).distinct().collect())
-        else:
+        if not part_column:
             touched = [WHOLE_TABLE]
+        elif parts is None:
+            rows = source if parts_from is None else parts_from
+            touched = [r[PART] for r in rows.select(part().alias(PART)).distinct().collect()]
+        else:
+            touched = list(parts)
         target = self._read_parts(name, schema, {p: s for p, s in current.items() if p in touched})
-        merged = upsert(target, source, keys, update_cols, overrides, duplicates, with_actions=True)
+        merged = upsert(target, source, keys, update_cols, overrides, duplicates, with_actions=True, condition=condition)
         merged = merged.withColumn(PART, part())
         if part_column:
             merged = merged.hint("rebalance", F.col(PART))
@@ -170,10 +221,11 @@ class TableStore:
             F.count_if(inserted).alias("rows_inserted"),
             F.count_if(updated).alias("rows_updated"),
             F.collect_set(PART).alias("parts"),
+            F.collect_set(F.when(inserted | updated, F.col(PART))).alias("changed"),
         )
         snapshot = max(current.values()) + 1
         path = self._snapshot_path(name, snapshot)
-        counted.drop(ACTION).write.mode("overwrite").partitionBy(PART).parquet(path)
+        counted.write.mode("overwrite").partitionBy(PART).parquet(path)
         written = seen.get
         metrics = {
             "rows_inserted": written["rows_inserted"],
@@ -181,5 +233,5 @@ class TableStore:
             "rows_deleted": 0,
             "rows_affected": written["rows_inserted"] + written["rows_updated"],
         }
-        self._commit(name, snapshot, "MERGE", metrics, sorted(written["parts"]))
+        self._commit(name, snapshot, "MERGE", metrics, sorted(written["parts"]), batch_date, written["changed"])
         return metrics

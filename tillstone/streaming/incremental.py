@@ -1,8 +1,8 @@
 """Landing partitions as a file stream: new batches are merged as they arrive.
 
 The stream's checkpoint remembers which files were taken in, in place of a
-date parameter. Merging a batch again changes nothing, so a batch that is
-retried after a failure is safe.
+date parameter. Merging a batch again changes nothing, also when later ones
+have come in meanwhile, so a batch that is retried after a failure is safe.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstone.plans.bronze import bronze_batch, bronze_schema, keyed_rows
+from tillstone.plans.bronze import bronze_schema, merge_landing
 from tillstone.schemas import Dataset
 from tillstone.sources.tables import TableStore
 
@@ -32,16 +32,7 @@ def merge_new_batches(
         days = [r[0] for r in arrived.select("processing_date").distinct().orderBy("processing_date").collect()]
         for day in days:
             rows = arrived.filter(F.col("processing_date") == F.lit(day))
-            store.upsert(
-                dataset.bronze_table,
-                bronze_schema(dataset),
-                bronze_batch(rows, dataset, day, as_of),
-                dataset.natural_key,
-                part_column=dataset.event_date,
-                overrides={"processing_date": F.lit(day)},
-                duplicates="unique",
-                parts_from=keyed_rows(rows, dataset),
-            )
+            merge_landing(store, rows, dataset, day, as_of)
 
     return (
         stream_landing(spark, landing_root, dataset)
