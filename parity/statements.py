@@ -36,7 +36,7 @@ def _audit(name: str) -> str:
 def _run_steps(name: str, layer: str, tagged: str, day: str) -> str:
     """The steps of one batch in a layer, each with the rows that come to it and those it drops."""
     dated = layer == "bronze" and name in v.EVENT_DATE
-    steps = [("null", "not_null"), *([("date", "real_date")] if dated else []), ("duplicate", "dedup")]
+    steps = [*([("malformed", "well_formed")] if layer == "bronze" else []), ("null", "not_null"), *([("date", "real_date")] if dated else []), ("duplicate", "dedup")]
     out, before = [], "0"
     for kind, rule in steps:
         gone = f"count(*) filter (rule like '{kind}:%')"
@@ -111,6 +111,8 @@ _BODIES = {
     # Sources, sinks and ingest
     "scan_csv_strings": _delivered("customer"),
     "batch_path_scan": _delivered("product"),
+    "scan_delivered": """select nullif(customer_id, '') as customer_id, customer_first_name,
+        case when loyalty_card_number is null then 'malformed' else 'landed' end as kind, true as unknown_refused from raw_customer""",
     "scan_calendar_csv": "select * from calendar",
     "scan_parquet_schema": "select * replace (cast(null as varchar) as store_type) from raw_store",
     "scan_one_partition": _select(
@@ -305,6 +307,16 @@ _BODIES = {
         select "FiscalYear", "FiscalMonthNumber", "FiscalMonthName", {MONEY} as revenue,
             cast(sum(quantity_sold) as bigint) as units, count(*) as lines
         from fact_sales left join calendar on transaction_date_id = date_id group by 1, 2, 3""",
+    "revenue_by_level": f"""
+        select case when grouping("Date") = 0 then 'Date' when grouping("FiscalWeekOfYear") = 0 then 'FiscalWeekOfYear'
+                when grouping("FiscalMonthNumber") = 0 then 'FiscalMonthNumber' when grouping("FiscalQuarter") = 0 then 'FiscalQuarter'
+                else 'FiscalYear' end as level,
+            "FiscalYear", "FiscalQuarter", "FiscalMonthNumber", "FiscalWeekOfYear", "Date",
+            {MONEY} as revenue, cast(sum(quantity_sold) as bigint) as units, count(*) as lines
+        from fact_sales left join calendar on transaction_date_id = date_id
+        group by grouping sets (("FiscalYear"), ("FiscalYear", "FiscalQuarter"), ("FiscalYear", "FiscalQuarter", "FiscalMonthNumber"),
+            ("FiscalYear", "FiscalQuarter", "FiscalMonthNumber", "FiscalWeekOfYear"),
+            ("FiscalYear", "FiscalQuarter", "FiscalMonthNumber", "FiscalWeekOfYear", "Date"))""",
     "transaction_volume": """
         select store_id, transaction_date, count(distinct (transaction_id, transaction_time)) as transactions,
             count(*) as lines from fact_sales group by 1, 2""",

@@ -65,6 +65,29 @@ def revenue_by_period(fact, calendar) -> DataFrame:
     return _as_double(out, "revenue")
 
 
+LEVELS = ("FiscalYear", "FiscalQuarter", "FiscalMonthNumber", "FiscalWeekOfYear", "Date")
+
+
+def revenue_by_level(fact, calendar) -> DataFrame:
+    """Revenue, units and lines per fiscal year, quarter, month, week and day, in one pass over the sums of the days.
+
+    ``level`` names the finest column that is set. Days that the calendar lacks are
+    one group of NULLs in each level.
+    """
+    per_day = fact.groupBy("transaction_date_id").agg(
+        _money().alias("revenue"), F.sum("quantity_sold").alias("units"), F.count(F.lit(1)).alias("lines")
+    )
+    days = calendar.select(F.col("date_id").alias("transaction_date_id"), *LEVELS)
+    sets = [[F.col(c) for c in LEVELS[: i + 1]] for i in range(len(LEVELS))]
+    finest = F.lit(LEVELS[0])
+    for c in LEVELS[1:]:
+        finest = F.when(F.grouping(c) == 0, F.lit(c)).otherwise(finest)
+    out = _left(per_day, days, "transaction_date_id").groupingSets(sets, *[F.col(c) for c in LEVELS]).agg(
+        finest.alias("level"), F.sum("revenue").alias("revenue"), F.sum("units").alias("units"), F.sum("lines").alias("lines")
+    )
+    return _as_double(out, "revenue")
+
+
 def transaction_volume(fact) -> DataFrame:
     """Transactions and lines per store and day; a visit is a transaction id at a time of day."""
     return fact.groupBy("store_id", "transaction_date").agg(
@@ -82,18 +105,15 @@ def product_mix(fact, product) -> DataFrame:
     mix = (
         _left(per_product, kinds, "product_id")
         .groupBy("product_category", "product_type")
-        .agg(F.sum("revenue").cast("double").alias("revenue"), F.sum("units").alias("units"))
-    )
-    # What is left is one row per kind of product: the windows are as small as the catalogue's tree.
-    within = F.sum(F.col("revenue").cast(MONEY))
-    of_category = within.over(Window.partitionBy("product_category")).cast("double")
-    of_all = within.over(Window.partitionBy()).cast("double")
-    return mix.withColumns(
-        {
-            "category_share": F.round(F.try_divide(F.col("revenue"), of_category), 4),
-            "total_share": F.round(F.try_divide(F.col("revenue"), of_all), 4),
-        }
+        .agg(F.sum("revenue").alias("revenue"), F.sum("units").alias("units"))
     )
+    of_category = F.sum("revenue").over(Window.partitionBy("product_category"))
+    of_all = mix.agg(F.sum("revenue")).scalar()
+
+    def share(total: Column) -> Column:
+        return F.round(F.try_divide(F.col("revenue").cast("double"), total.cast("double")), 4)
+
+    return _as_double(mix.withColumns({"category_share": share(of_category), "total_share": share(of_all)}), "revenue")
 
 
 def _per_customer(fact) -> DataFrame:

@@ -19,7 +19,7 @@ from tillstone.operators.quality import keep_one, require_not_null, triage
 from tillstone.operators.upsert import upsert
 from tillstone.schemas import Dataset
 from tillstone.sources.landing import stamp_processing_date
-from tillstone.sources.readers import scan_one_partition
+from tillstone.sources.readers import MALFORMED, scan_landed_lines
 from tillstone.sources.quality_log import QualityLog
 from tillstone.sources.tables import NOT_OLDER, TableStore, month_part
 
@@ -52,22 +52,29 @@ def bronze_batch(landing: DataFrame, dataset: Dataset, day: date, as_of: date |
 
 
 def tagged_batch(landing: DataFrame, dataset: Dataset, as_of: date | None = None) -> DataFrame:
-    """Every delivered row with ``rule``, NULL for those of ``bronze_batch``.
+    """Every delivered row with ``rule``, NULL for those of ``bronze_batch``, and the text of a malformed line.
 
     A row whose event date is no real one (unreadable, before 1900 or later than
     ``as_of``) is refused here: its month would not be one of the calendar.
     """
     today = F.current_date() if as_of is None else F.lit(as_of)
-    refuse = {}
+    line = F.col(MALFORMED) if MALFORMED in landing.columns else F.lit(None).cast("string").alias(MALFORMED)
+    refuse = {"malformed": F.col(MALFORMED).isNotNull()}
     if dataset.event_date:
         text = F.col(f"`{dataset.event_date}`")
         refuse[f"date:{dataset.event_date}"] = text.isNotNull() & rules.clean_date(text, today).isNull()
-    rows = landing.select(*[F.col(f"`{c}`") for c in dataset.raw_columns])
-    return triage(rows, dataset.natural_key, dataset.natural_key, prefer=_preferred(dataset, as_of), refuse=refuse)
+    rows = landing.select(*[F.col(f"`{c}`") for c in dataset.raw_columns], line)
+    columns = dataset.raw_columns
+    return triage(rows, dataset.natural_key, dataset.natural_key, prefer=_preferred(dataset, as_of), refuse=refuse, order_columns=columns)
 
 
 def bronze_steps(dataset: Dataset) -> tuple[str, ...]:
-    return ("null", "date", "duplicate") if dataset.event_date else ("null", "duplicate")
+    return ("malformed", "null", "date", "duplicate") if dataset.event_date else ("malformed", "null", "duplicate")
+
+
+def rejects_schema(dataset: Dataset) -> T.StructType:
+    """What the reject log of bronze holds of a row."""
+    return T.StructType([*dataset.raw_schema, T.StructField(MALFORMED, T.StringType())])
 
 
 def merge_bronze(target: DataFrame, batch: DataFrame, dataset: Dataset, day: date) -> DataFrame:
@@ -82,7 +89,7 @@ def merge_landing(store: TableStore, landing: DataFrame, dataset: Dataset, day:
     """
     part = month_part(dataset.event_date) if dataset.event_date else None
     log = QualityLog(store.spark, store.root)
-    batch = log.sort(tagged_batch(landing, dataset, as_of), dataset.name, day, bronze_steps(dataset), part)
+    batch = log.sort(tagged_batch(landing, dataset, as_of), dataset.name, day, bronze_steps(dataset), part, only_rejects=(MALFORMED,))
     return store.upsert(
         dataset.bronze_table,
         bronze_schema(dataset),
@@ -100,4 +107,4 @@ def load_bronze(
     spark: SparkSession, store: TableStore, landing_root: str, dataset: Dataset, day: date, as_of: date | None = None
 ) -> dict[str, int]:
     """Merge the landing partition of ``day`` into the bronze table."""
-    return merge_landing(store, scan_one_partition(spark, landing_root, dataset, day), dataset, day, as_of)
+    return merge_landing(store, scan_landed_lines(spark, landing_root, dataset, day), dataset, day, as_of)

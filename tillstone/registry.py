@@ -123,6 +123,34 @@ def batch_path_scan(spark, sf_dir):
     return readers.scan_batch(spark, root, MONTH, DATASETS["product"])
 
 
+@query
+def scan_delivered(spark, sf_dir):
+    """An extract with a header of its own, lines with a field too many, and one that no contract knows.
+
+    The first is landed under the names of the contract, the lines go to the reject log of bronze, the last is refused.
+    """
+    dataset = DATASETS["customer"]
+    workspace = new_workspace(spark, "delivered")
+    batch = medallion.Batch(f"{workspace}/raw", workspace, MONTH, DAY, DAY)
+    rows = raw(spark, sf_dir, "customer")
+    broken = F.when(F.col("loyalty_card_number").isNull(), F.lit("no,card")).otherwise(F.col("loyalty_card_number"))
+    headed = rows.withColumn("loyalty_card_number", broken).withColumnRenamed("customer_first_name", "Customer_First-Name")
+    retail_views.export_extract(headed, readers.batch_path(batch.raw_root, MONTH, dataset), quote="")
+    landing.land_batch(spark, batch.raw_root, batch.landing_root, dataset, MONTH, DAY)
+    bronze.load_bronze(spark, batch.store(spark, "bronze"), batch.landing_root, dataset, DAY, DAY)
+    lines = batch.quality(spark, "bronze").rejects("customer", bronze.rejects_schema(dataset)).filter("rule = 'malformed'")
+    strange = rows.withColumnRenamed("gender", "sex")
+    retail_views.export_extract(strange, readers.batch_path(f"{workspace}/strange", MONTH, dataset))
+    try:
+        readers.scan_delivered(spark, f"{workspace}/strange", MONTH, dataset)
+        refused = False
+    except readers.HeaderMismatch:
+        refused = True
+    landed = readers.scan_landing(spark, batch.landing_root, dataset).select("customer_id", "customer_first_name")
+    told = landed.withColumn("kind", F.lit("landed")).unionByName(lines.select("customer_id", "customer_first_name", F.lit("malformed").alias("kind")))
+    return told.withColumn("unknown_refused", F.lit(refused))
+
+
 @query
 def scan_calendar_csv(spark, sf_dir):
     path = f"{new_workspace(spark, 'calendar')}/calendar.csv"
@@ -442,7 +470,7 @@ def _rejects(batch: medallion.Batch, spark: SparkSession, dataset: Dataset, laye
     """The rejects of a dataset in a layer, told by the delivered text of their keys and mandatory columns."""
     log = batch.quality(spark, layer)
     if layer == "bronze":
-        rows, of = log.rejects(dataset.name, dataset.raw_schema), "`{}`"
+        rows, of = log.rejects(dataset.name, bronze.rejects_schema(dataset)), "`{}`"
     else:
         rows, of = log.rejects(dataset.name, silver.delivered_schema(dataset)), "delivered.`{}`"
     told = [F.coalesce(F.col(of.format(c)), F.lit("<null>")) for c in dataset.identity]
@@ -693,6 +721,7 @@ _analysis(
 )
 _analysis("inventory_star", analytics.inventory_star, "fact_inventory", "dim_product", "dim_store", "baked_calendar")
 _analysis("revenue_by_period", analytics.revenue_by_period, "fact_sales", "transaction_calendar")
+_analysis("revenue_by_level", analytics.revenue_by_level, "fact_sales", "transaction_calendar")
 _analysis("transaction_volume", analytics.transaction_volume, "fact_sales")
 _analysis("product_mix", analytics.product_mix, "fact_sales", "dim_product")
 _analysis("customer_demographics", analytics.customer_demographics, "fact_sales", "dim_customer")

@@ -6,7 +6,7 @@ downstream reports rely on (including the spelling ``neighorhood``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
@@ -242,6 +242,8 @@ class Dataset:
     flag_columns: tuple[str, ...] = ()
     event_date: str | None = None
     landing_files: int | None = None
+    #: Headers of extracts that differ from the contract by more than case.
+    header_names: dict[str, str] = field(default_factory=dict)
 
     @property
     def raw_columns(self) -> list[str]:
@@ -275,6 +277,7 @@ DATASETS = {
             latest_by=("customer_since", "birthdate"),
             title_columns=("customer_first_name", "customer_email"),
             date_columns=("customer_since", "birthdate"),
+            header_names={"customer_first-name": "customer_first_name"},
         ),
         Dataset(
             "employee", "employee_lookup", EMPLOYEE, SILVER_EMPLOYEE,

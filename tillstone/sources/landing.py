@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstone.schemas import DATASETS, Dataset
-from tillstone.sources.readers import scan_batch
+from tillstone.sources.readers import scan_delivered
 
 
 def stamp_processing_date(df: DataFrame, day: date) -> DataFrame:
@@ -36,8 +36,11 @@ def write_partitioned(df: DataFrame, path: str, files: int | None = None) -> Non
 def land_batch(
     spark: SparkSession, raw_root: str, landing_root: str, dataset: Dataset, batch_month: str, day: date
 ) -> bool:
-    """Land one dataset of one batch; False (and no write) when the extract has no rows."""
-    raw = scan_batch(spark, raw_root, batch_month, dataset)
+    """Land one dataset of one batch, its columns by the names of the contract; False (and no write) when the extract has no rows.
+
+    Malformed lines are landed as such; bronze takes them to the reject log.
+    """
+    raw = scan_delivered(spark, raw_root, batch_month, dataset)
     if not has_rows(raw):
         return False
     write_partitioned(stamp_processing_date(raw, day), f"{landing_root}/{dataset.file_stem}", dataset.landing_files)

@@ -174,11 +174,12 @@ def batches(spark: SparkSession, sf_dir: str, dataset: Dataset) -> tuple[DataFra
     return first.select(dataset.raw_columns), second.select(dataset.raw_columns)
 
 
-def export_extract(df: DataFrame, path: str) -> None:
-    """Write an extract as the delivered CSV: header, text as it is."""
+def export_extract(df: DataFrame, path: str, quote: str = '"') -> None:
+    """Write an extract as the delivered CSV: header, text as it is (without ``quote`` also where it holds a comma)."""
     (
         df.write.mode("overwrite")
         .option("header", True)
+        .option("quote", quote)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstone.plans.bronze import bronze_schema, merge_landing
+from tillstone.plans.bronze import merge_landing
 from tillstone.schemas import Dataset
+from tillstone.sources.readers import landing_schema
 from tillstone.sources.tables import TableStore
 
 
 def stream_landing(spark: SparkSession, landing_root: str, dataset: Dataset) -> DataFrame:
-    return spark.readStream.schema(bronze_schema(dataset)).parquet(f"{landing_root}/{dataset.file_stem}")
+    return spark.readStream.schema(landing_schema(dataset)).parquet(f"{landing_root}/{dataset.file_stem}")
 
 
 def merge_new_batches(
