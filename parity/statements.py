@@ -107,6 +107,16 @@ _inv1, _inv2 = "bronze1_food_inventory", "bronze2_food_inventory"
 _known = _matches(_inv2, _inv1, v.INVENTORY_GRAIN)
 _sold_again = _matches("silver2_sales", "silver1_sales", ("sales_key",))
 
+REFERENCES = (
+    ("employee", "location", "store", "store_id"),
+    ("sales", "product_id", "product", "product_id"),
+    ("sales", "customer_id", "customer", "customer_id"),
+    ("sales", "staff_id", "employee", "staff_id"),
+    ("sales", "store_id", "store", "store_id"),
+    ("food_inventory", "product_id", "product", "product_id"),
+    ("food_inventory", "store_id", "store", "store_id"),
+)
+
 _BODIES = {
     # Sources, sinks and ingest
     "scan_csv_strings": _delivered("customer"),
@@ -188,16 +198,19 @@ _BODIES = {
     "dq_audit": " union all ".join(_audit(n) for n in v.STANDARD),
     "check_referential_integrity": " union all ".join(
         _orphans(*check)
-        for check in (
-            ("employee", "location", "store", "store_id"),
-            ("sales", "product_id", "product", "product_id"),
-            ("sales", "customer_id", "customer", "customer_id"),
-            ("sales", "staff_id", "employee", "staff_id"),
-            ("sales", "store_id", "store", "store_id"),
-            ("food_inventory", "product_id", "product", "product_id"),
-            ("food_inventory", "store_id", "store", "store_id"),
-        )
+        for check in REFERENCES
+    ),
+    "run_orphans": " union all ".join(
+        f"""select '{child}' as dataset, {day} as processing_date, '{child}.{key} -> {parent}' as relation,
+            cast({key} as varchar) as orphan_key, count(*) as n_rows from taken{i}_{child}
+            where {key} is not null and cast({key} as varchar) not in (
+                select {_one_spelling(f"cast({parent_key} as varchar)")} from {state}_{parent}) group by {key}"""
+        for child, key, parent, parent_key in REFERENCES
+        for i, day, state in ((1, v.FIRST, "taken1"), (2, v.SECOND, "after"))
     ),
+    "orphans": """select * from silver_employee where location is not null
+        and location not in (select cast(store_id as varchar) from silver_store)""",
+    "with_parent": "select * from silver_sales where cast(staff_id as varchar) in (select staff_id from silver_employee)",
     "strip_special_chars": """select customer_id,
         regexp_replace(customer_first_name, '[^A-Za-z0-9 ]', '', 'g') as customer_first_name from raw_customer""",
     "reject_log": " union all ".join(

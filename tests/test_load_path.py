@@ -13,7 +13,7 @@ from tillstone.operators.upsert import ACTION, Upsert, in_catalog
 from tillstone.plans import silver
 from tillstone.plans.bronze import bronze_batch, bronze_schema, merge_landing, rejects_schema, tagged_batch
 from tillstone.plans.gold import GOLD
-from tillstone.plans.medallion import Batch, BatchFailed, load_gold, load_silver, run_batch
+from tillstone.plans.medallion import Batch, BatchFailed, check_references, load_gold, load_silver, orphans_of_runs, run_batch
 from tillstone.schemas import DATASETS
 from tillstone.sources import landing, readers, retail_views
 
@@ -213,3 +213,16 @@ def test_one_broken_extract_does_not_end_the_others(spark, tmp_path):
     assert set(failed.value.failures) == {"product"}
     for table in ("dim_customer", "dim_employee", "fact_inventory", "fact_sales", "dim_store"):
         assert failed.value.metrics[table]["rows_inserted"] == batch.store(spark, "gold").read(table, GOLD[table].schema).count() > 0
+
+
+def test_orphans_of_a_run_are_logged_once(spark, tmp_path):
+    batch = Batch(f"{tmp_path}/raw", str(tmp_path), "2019-04", APRIL, as_of=APRIL)
+    store_row = ("3", "retail", "1", "a", "b", "NY", "1", "0", "0", "6.0", "x")
+    staff = [(str(i), "a", "b", "Roaster", "2011-01-02", place) for i, place in enumerate(("3", "3.0", "4", "04", None))]
+    for name, rows in (("employee", staff), ("store", [store_row])):
+        _land(spark, batch, name, rows)
+        _load(spark, batch, name, "dim_employee" if name == "employee" else "dim_store")
+        check_references(spark, batch)
+        found = _bag(orphans_of_runs(spark, batch), "dataset", "processing_date", "relation", "orphan_key", "n_rows")
+        known = {} if name == "store" else {("employee", APRIL, "employee.location -> store", "3", 2): 1}
+        assert found == Counter(known | {("employee", APRIL, "employee.location -> store", "4", 2): 1})

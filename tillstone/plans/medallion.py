@@ -9,15 +9,19 @@ from datetime import date
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillstone.functions import keys
 from tillstone.functions.enrich import REFERENCE_DATE
+from tillstone.operators.quality import orphan_keys
 from tillstone.plans.bronze import bronze_schema, load_bronze
 from tillstone.plans.gold import GOLD, build_gold
 from tillstone.plans.silver import DELIVERED, STEPS, tagged_batch
-from tillstone.schemas import DATASETS, Dataset
+from tillstone.schemas import DATASETS, REFERENCES, Dataset
 from tillstone.sources.landing import land_batch
 from tillstone.sources.quality_log import QualityLog
-from tillstone.sources.tables import NOT_OLDER, TableStore, month_part
+from tillstone.sources.tables import NOT_OLDER, TableStore, empty_table, month_part
 
 
 @dataclass(frozen=True)
@@ -93,6 +97,48 @@ def load_dataset(spark: SparkSession, batch: Batch, dataset: Dataset) -> dict[st
     return metrics | {name: load_gold(spark, batch, name) for name in tables}
 
 
+ORPHANS = T.StructType(
+    [
+        T.StructField("dataset", T.StringType()),
+        T.StructField("processing_date", T.DateType()),
+        T.StructField("relation", T.StringType()),
+        T.StructField("orphan_key", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+    ]
+)
+
+
+def _orphans_root(batch: Batch) -> str:
+    return f"{batch.lake_root}/silver/_orphans"
+
+
+def check_references(spark: SparkSession, batch: Batch, names=None) -> None:
+    """Log the keys in this batch's silver rows that no row of the stored parent has, one folder a dataset and batch.
+
+    The rows of a key are counted before they meet a parent. A rerun replaces its folder; a parent that has no table
+    yet has no keys.
+    """
+    store, day = batch.store(spark, "silver"), batch.processing_date
+    for name in (n for n in (names or DATASETS) if n in REFERENCES):
+        dataset, references = DATASETS[name], []
+        if not store.exists(dataset.silver_table):
+            continue
+        rows = store.read_incremental(dataset.silver_table, dataset.silver, day)
+        rows = rows.select(*[keys.reference_key(F.col(key).cast("string")).alias(key) for key in REFERENCES[name]])
+        for key, (parent, parent_key) in REFERENCES[name].items():
+            table = DATASETS[parent]
+            known = store.read(table.silver_table, table.silver) if store.exists(table.silver_table) else empty_table(spark, table.silver)
+            known = known.select(keys.reference_key(F.col(parent_key).cast("string")).alias(parent_key))
+            references.append((key, known, parent_key, f"{name}.{key} -> {parent}"))
+        found = orphan_keys(rows, references).select("relation", "orphan_key", "n_rows")
+        found.write.mode("overwrite").parquet(f"{_orphans_root(batch)}/dataset={name}/processing_date={day}")
+
+
+def orphans_of_runs(spark: SparkSession, batch: Batch) -> DataFrame:
+    """What ``check_references`` has found in each batch of the lake."""
+    return spark.read.schema(ORPHANS).parquet(_orphans_root(batch))
+
+
 def load_calendars(spark: SparkSession, batch: Batch, calendar: DataFrame) -> dict[str, dict[str, int]]:
     """Both calendars have the same rows, each with a table of its own."""
     store = batch.store(spark, "gold")
@@ -144,7 +190,8 @@ def run_batch(
 ) -> dict[str, dict[str, int]]:
     """Run a batch of the named datasets (all by default), ``threads`` at a time; merge metrics per table.
 
-    Datasets without data in this batch are skipped. Where some fail, the others are
+    Keys without a parent are logged once all datasets are in. Datasets
+    without data in this batch are skipped. Where some fail, the others are
     loaded all the same, the calendars too, and ``BatchFailed`` tells which.
     """
     for layer in ("bronze", "silver", "gold"):
@@ -161,6 +208,7 @@ def run_batch(
         metrics = each_dataset(spark, names or DATASETS, work, threads)
     except BatchFailed as error:
         failed, metrics = error, error.metrics
+    check_references(spark, batch, [name for name in (names or DATASETS) if DATASETS[name].silver_table in metrics])
     if calendar is not None:
         metrics |= load_calendars(spark, batch, calendar)
     if failed:

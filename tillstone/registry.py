@@ -13,7 +13,7 @@ from tillstone.operators import projection, quality
 from tillstone.operators.upsert import ACTION, Upsert, merge_metrics, upsert
 from tillstone.plans import analytics, bronze, gold, medallion, silver
 from tillstone.plans.calendar import calendar_spine, with_date_id
-from tillstone.schemas import DATASETS, DIM_STORE, Dataset
+from tillstone.schemas import DATASETS, DIM_STORE, REFERENCES, Dataset
 from tillstone.session import new_workspace
 from tillstone.sources import landing, readers, retail_views
 from tillstone.sources.tables import TableStore, empty_table
@@ -80,7 +80,9 @@ def landed_batches(spark: SparkSession, sf_dir: str, dataset: Dataset, workspace
     return root
 
 
-def run_lake(spark: SparkSession, sf_dir: str, names=tuple(DATASETS), layers: int = 2) -> list[medallion.Batch]:
+def run_lake(
+    spark: SparkSession, sf_dir: str, names=tuple(DATASETS), layers: int = 2, references: bool = False
+) -> list[medallion.Batch]:
     """Both batches of the named datasets from landing into bronze, silver and (``layers`` 3) gold of a fresh lake."""
     workspace = new_workspace(spark, "lake")
     batches = [medallion.Batch(f"{workspace}/raw", workspace, str(day)[:7], day, DAY) for day in (FIRST_DAY, SECOND_DAY)]
@@ -98,6 +100,8 @@ def run_lake(spark: SparkSession, sf_dir: str, names=tuple(DATASETS), layers: in
             return {dataset.silver_table: medallion.load_silver(spark, batch, dataset)}
 
         medallion.each_dataset(spark, names, load)
+        if references:
+            medallion.check_references(spark, batch, names)
     return batches
 
 
@@ -439,18 +443,8 @@ def check_referential_integrity(spark, sf_dir):
         name: standard(spark, sf_dir, name).select(keys.reference_key(F.col(key).cast("string")).alias(key)).distinct()
         for name, key in keys_of.items()
     }
-    checks = {
-        "employee": {"location": ("store", "store_id")},
-        "sales": {
-            "product_id": ("product", "product_id"),
-            "customer_id": ("customer", "customer_id"),
-            "staff_id": ("employee", "staff_id"),
-            "store_id": ("store", "store_id"),
-        },
-        "food_inventory": {"product_id": ("product", "product_id"), "store_id": ("store", "store_id")},
-    }
     found = []
-    for child, parents in checks.items():
+    for child, parents in REFERENCES.items():
         rows = raw(spark, sf_dir, child).select(*[keys.reference_key(F.col(key)).alias(key) for key in parents])
         references = [
             (key, dims[parent], parent_key, f"{child}.{key} -> {parent}") for key, (parent, parent_key) in parents.items()
@@ -459,6 +453,25 @@ def check_referential_integrity(spark, sf_dir):
     return _union(found)
 
 
+@query
+def run_orphans(spark, sf_dir):
+    """Keys without a parent in each of two batches of all datasets, as their runs have logged them."""
+    return medallion.orphans_of_runs(spark, run_lake(spark, sf_dir, references=True)[-1])
+
+
+@query
+def orphans(spark, sf_dir):
+    """Employees at a location that is no store."""
+    return quality.orphans(silver_table(spark, sf_dir, "employee"), silver_table(spark, sf_dir, "store"), "location", "store_id")
+
+
+@query
+def with_parent(spark, sf_dir):
+    """Sales of an employee that the staff list has."""
+    staff = silver_table(spark, sf_dir, "employee").withColumn("staff_id", F.col("staff_id").cast("int"))
+    return quality.with_parent(silver_table(spark, sf_dir, "sales"), staff, "staff_id", "staff_id")
+
+
 @query
 def strip_special_chars(spark, sf_dir):
     return raw(spark, sf_dir, "customer").select(

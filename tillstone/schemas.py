@@ -317,3 +317,15 @@ DATASETS = {
         ),
     )
 }
+
+#: Which columns of a dataset name a row of another one: (dataset, key) by child and column.
+REFERENCES = {
+    "employee": {"location": ("store", "store_id")},
+    "sales": {
+        "product_id": ("product", "product_id"),
+        "customer_id": ("customer", "customer_id"),
+        "staff_id": ("employee", "staff_id"),
+        "store_id": ("store", "store_id"),
+    },
+    "food_inventory": {"product_id": ("product", "product_id"), "store_id": ("store", "store_id")},
+}
