@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +20,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame, purpose: str) -> DataFrame:
+#: The folders written within each open ``passing`` block, innermost last.
+_passing: ContextVar[tuple[list[str], ...]] = ContextVar("passing", default=())
+
+
+def settle(df: DataFrame, purpose: str, stays: bool = False) -> DataFrame:
     """``df`` written to the folder that the whole cluster shares, and read back.
 
     Cuts the lineage: what follows reads files, whichever executors are lost.
+    Within ``passing`` the files go with the block, unless what is returned
+    from it reads them and ``stays`` says so.
     """
     path = new_workspace(df.sparkSession, purpose)
+    blocks = _passing.get()
+    if blocks and not stays:
+        blocks[-1].append(path)
+    elif len(blocks) > 1:
+        blocks[-2].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that are settled inside once their results are written."""
+    own: list[str] = []
+    token = _passing.set((*_passing.get(), own))
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in own:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import same, settle, spare
+from tillstone.llm.common import passing, same, settle, spare
 from tillstone.llm.components import components
 
 
@@ -157,16 +157,19 @@ def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     is the smallest ``doc_id`` that can be reached (NULL only if there is no
     other). Of rows that share that ``doc_id`` in a component, all are kept.
     """
-    rows = settle(digests(docs, how), "minhash-rows")
-    classes = rows.filter("digest is not null").groupBy(F.col("digest").alias("c_digest")).agg(F.min("row").alias("id"), F.min("doc_id").alias("least_id"))
-    classes = settle(classes, "minhash-classes")
-    sketch = rows.join(classes.select("id").hint("merge"), F.col("row") == F.col("id")).select("id", "doc_id", "text_hash", "n", "marks", "bands")
-    sketch = settle(sketch, "minhash-sketches")
-    parts = settle(linked_classes(docs, sketch, how), "minhash-parts")
-    # Class -> component -> the smallest doc_id among the component's classes.
-    part = classes.join(parts, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id"))
-    least = part.groupBy(F.col("part").alias("p")).agg(F.min("least_id").alias("component_id"))
-    named = settle(part.join(least, F.col("part") == F.col("p")).select("c_digest", "component_id"), "minhash-named")
+    with passing(docs.sparkSession):
+        signed = settle(digests(docs, how), "minhash-signed")
+        classes = signed.filter("digest is not null").groupBy(F.col("digest").alias("c_digest")).agg(F.min("row").alias("id"), F.min("doc_id").alias("least_id"))
+        classes = settle(classes, "minhash-classes", stays=True)
+        sketch = signed.join(classes.select("id").hint("merge"), F.col("row") == F.col("id")).select("id", "doc_id", "text_hash", "n", "marks", "bands")
+        sketch = settle(sketch, "minhash-sketches", stays=True)
+        rows = settle(signed.select("doc_id", "text_hash", "n", "digest"), "minhash-rows", stays=True)
+    with passing(docs.sparkSession):
+        parts = linked_classes(docs, sketch, how)
+        # Class -> component -> the smallest doc_id among the component's classes.
+        part = classes.join(parts, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id"))
+        least = part.groupBy(F.col("part").alias("p")).agg(F.min("least_id").alias("component_id"))
+        named = settle(part.join(least, F.col("part") == F.col("p")).select("c_digest", "component_id"), "minhash-named", stays=True)
     joined = rows.join(named, F.col("digest") == F.col("c_digest"), "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
@@ -193,7 +196,7 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, how: MinHash) -> DataFram
     sets = settle(shingle_sets(texts.dropDuplicates(["k_id", "k_text"]).select("id", "text"), how), "minhash-sets")
     marks = sketch.select("id", "marks")
     parts = none.select(F.col("id").alias("node"), F.col("id").alias("component"))
-    links = tested = none.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    tested = none.select(F.col("id").alias("a"), F.col("id").alias("b"))
     for turn in range(how.rounds):
         pairs = candidates(members, parts, turn).join(tested, ["a", "b"], "left_anti")
         pairs = pairs.filter(100 * F.col("few") >= how.similar_pct * F.col("many")).select("a", "b", "id").distinct()
@@ -205,18 +208,21 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, how: MinHash) -> DataFram
         tested = tested.union(likely)
         if found.isEmpty():
             break
-        links = links.union(found)
-        parts = settle(components(links), "minhash-parts")
+        parts = settle(joined_by(parts, found), "minhash-parts")
     # A bucket of two is one pair: whatever of these is still apart and untested is tested now, not only the best of a member.
     pairs = twos(members, parts).join(tested, ["a", "b"], "left_anti")
     pairs = pairs.filter(100 * F.col("few") >= how.similar_pct * F.col("many")).select("a", "b").distinct()
     likely = settle(estimate(with_both(pairs, marks, "marks"), how).select("a", "b"), "minhash-likely")
     found = settle(confirm(with_both(likely, sets.withColumnRenamed("shingles", "set"), "set"), how), "minhash-found")
     if not found.isEmpty():
-        links = links.union(found)
-        parts = settle(components(links), "minhash-parts")
+        parts = settle(joined_by(parts, found), "minhash-parts")
     found = settle(across(members, parts, marks.join(sets.withColumnRenamed("id", "s"), F.col("id") == F.col("s")).drop("s"), how), "minhash-found")
-    return parts if found.isEmpty() else settle(components(links.union(found)), "minhash-parts")
+    return parts if found.isEmpty() else settle(joined_by(parts, found), "minhash-parts")
+
+
+def joined_by(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The parts after more links (a, b): what is joined already is a star, which takes few rounds."""
+    return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
 
 
 def with_parts(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -321,15 +327,27 @@ def keep_one(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
 
     Of several rows with that ``doc_id`` one stays. Blank texts all stay.
     """
-    found = near_duplicates(docs, how).filter("n_shingles > 0")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("x")
-    stay = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("text_hash"))).agg(first)
-    stay = stay.select(F.coalesce(F.col("x.doc_id").cast("string"), F.lit("")).alias("s_id"), F.col("x.text_hash").alias("s_text"))
+    return only(docs, survivors(docs, how))
+
+
+def survivors(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
+    """(s_id, s_text): the ``text_key`` of the document of each group that stays, blank texts left out."""
+    with passing(docs.sparkSession):
+        found = near_duplicates(docs, how).filter("n_shingles > 0")
+        first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("x")
+        stay = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("text_hash"))).agg(first)
+        stay = stay.select(F.coalesce(F.col("x.doc_id").cast("string"), F.lit("")).alias("s_id"), F.col("x.text_hash").alias("s_text"))
+        return settle(stay, "minhash-stay", stays=True)
+
+
+def only(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """One row for each of the ``survivors``, and all blank ones; of rows without ``text`` those with a survivor's ``doc_id`` and ``text_hash``."""
+    if "text" not in docs.columns:
+        own = (F.coalesce(F.col("doc_id").cast("string"), F.lit("")) == F.col("s_id")) & (F.col("text_hash") == F.col("s_text"))
+        return docs.join(stay, own, "left_semi")
     k_id, k_text = (spare(docs.columns, n) for n in ("k_id", "k_text"))
     keyed = docs.filter(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))).withColumns(dict(zip((k_id, k_text), text_key())))
-    kept = keyed.join(
-        settle(stay, "minhash-stay"), (F.col(k_id) == F.col("s_id")) & (F.col(k_text) == F.col("s_text")), "left_semi"
-    )
+    kept = keyed.join(stay, (F.col(k_id) == F.col("s_id")) & (F.col(k_text) == F.col("s_text")), "left_semi")
     blank = docs.filter(~F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False)))
     return kept.dropDuplicates([k_id, k_text]).drop(k_id, k_text).unionByName(blank)
 

@@ -11,12 +11,13 @@ first document that has it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import let, settle, spare, strip_lines, whole, words_of
+from tillstone.llm.common import let, passing, same, settle, spare, strip_lines, whole, words_of
 
 FIELD = "<*>"
 SPACE = r"\x20\x09-\x0D"
@@ -78,14 +79,15 @@ def templates(docs: DataFrame, rows: DataFrame, tree: Tree = Tree()) -> DataFram
         .drop("b_leaf")
     )
     found = settle(found, "template-found")
-    tokens = settle(literals(docs, busy, tree), "template-tokens")
-    # A leaf's distinct lines, each with the number of documents that have it.
-    known = tokens.join(
-        found.groupBy(F.col("leaf").alias("f_leaf"), F.col("literal").alias("f_literal")).agg(
-            F.count("*").alias("n_lines"), F.count_distinct("doc_id", "text_hash").alias("n_documents")
-        ),
-        (F.col("leaf") == F.col("f_leaf")) & (F.col("literal") == F.col("f_literal")),
-    ).drop("f_leaf", "f_literal")
+    # A leaf's distinct lines, each with the number of documents that have it, and one place where it stands.
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "i")
+    distinct = found.groupBy("leaf", "literal").agg(
+        F.count("*").alias("n_lines"), F.count_distinct("doc_id", "text_hash").alias("n_documents"), F.min(place).alias("place")
+    )
+    distinct = settle(distinct, "template-distinct")
+    tokens = literals(docs, distinct.select("place.doc_id", "place.text_hash", "place.i", "leaf", "literal"))
+    counted = distinct.select(F.col("leaf").alias("f_leaf"), F.col("literal").alias("f_literal"), "n_lines", "n_documents")
+    known = tokens.join(counted, (F.col("leaf") == F.col("f_leaf")) & (F.col("literal") == F.col("f_literal"))).drop("f_leaf", "f_literal")
     known = settle(known, "template-known")
     named = settle(general_forms(known, tree), "template-general")
     return found.join(named, (F.col("leaf") == F.col("k_leaf")) & (F.col("literal") == F.col("k_literal")), "left").select(
@@ -167,17 +169,19 @@ def split(lines: DataFrame, tree: Tree) -> DataFrame:
     return whole_lines.join(parts, (F.col("leaf") == F.col("p_leaf")) & (F.col("literal") == F.col("p_literal"))).drop("p_leaf", "p_literal")
 
 
-def literals(docs: DataFrame, busy: DataFrame, tree: Tree) -> DataFrame:
-    """The distinct masked lines of the busy leaves with their tokens."""
-    lines = docs.select(F.explode(F.array_distinct(F.split(whole("text"), "\n"))).alias("line"))
-    lines = lines.select(masked(F.col("line")).alias("tokens")).filter(F.size("tokens") > 0)
-    keyed = lines.select(
-        "tokens",
-        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, tree.depth)).alias("leaf"),
-        F.xxhash64("tokens").alias("literal"),
+def literals(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The tokens of the lines at ``places`` (doc_id, text_hash, i), with their ``leaf`` and ``literal``; no other line is looked at."""
+    here = places.groupBy(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_hash")).agg(
+        F.collect_list(F.struct("i", "leaf", "literal")).alias("places")
+    )
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    texts = texts.join(here, same(F.col("doc_id"), F.col("p_id")) & (F.col("text_hash") == F.col("p_hash")))
+    lines = let(
+        F.split(whole("text"), "\n"),
+        lambda lines: F.transform("places", lambda p: F.struct(p.leaf.alias("leaf"), p.literal.alias("literal"), masked(F.get(lines, p.i)).alias("tokens"))),
     )
-    kept = keyed.join(busy, F.col("leaf") == F.col("b_leaf"), "left_semi")
-    return kept.groupBy("leaf", "literal").agg(F.first("tokens").alias("tokens"))
+    # A repeated row brings its lines again.
+    return texts.select(F.inline(lines)).groupBy("leaf", "literal").agg(F.first("tokens").alias("tokens"))
 
 
 def recurring(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
@@ -187,11 +191,12 @@ def recurring(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     of a template or a long line is the one with the smallest doc_id (NULL
     last), then hash; it keeps all its lines of it. Repeated rows are one document.
     """
-    rows = settle(parsed(docs, tree).dropDuplicates(["doc_id", "text_hash"]), "template-lines")
-    gone = repeated(settle(templates(docs, rows, tree), "template-named"), tree.limit + 1)
-    if tree.long_limit is not None:
-        gone = gone.union(passages(rows, tree))
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("i").alias("lines"))
+    with passing(docs.sparkSession):
+        rows = settle(parsed(docs, tree).dropDuplicates(["doc_id", "text_hash"]), "template-lines")
+        gone = repeated(settle(templates(docs, rows, tree), "template-named"), tree.limit + 1)
+        if tree.long_limit is not None:
+            gone = gone.union(passages(rows, tree))
+        return settle(gone.groupBy("doc_id", "text_hash").agg(F.collect_set("i").alias("lines")), "template-hits", stays=True)
 
 
 def passages(rows: DataFrame, tree: Tree) -> DataFrame:
@@ -221,22 +226,31 @@ def drop_recurring(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     return without(docs, recurring(docs, tree))
 
 
-def drop_passages(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """``docs`` without the long lines that an earlier document has as well; else as ``drop_recurring``."""
-    rows = settle(parsed(docs, tree).dropDuplicates(["doc_id", "text_hash"]), "template-lines")
-    return without(docs, passages(rows, tree).groupBy("doc_id", "text_hash").agg(F.collect_list("i").alias("lines")))
+def drop_passages(docs: DataFrame, tree: Tree = Tree(), among: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``docs`` without the long lines that an earlier document has as well; else as ``drop_recurring``.
+
+    ``among`` picks the documents from all ``docs``, or from rows with their ``doc_id`` and ``text_hash``: lines are taken
+    before, so the texts that stay are not written in between.
+    """
+    kept = docs if among is None else among(docs)
+    with passing(docs.sparkSession):
+        rows = parsed(docs, tree).dropDuplicates(["doc_id", "text_hash"])
+        rows = settle(rows if among is None else among(rows), "template-lines")
+        hits = passages(rows, tree).groupBy("doc_id", "text_hash").agg(F.collect_list("i").alias("lines"))
+        hits = settle(hits, "template-hits", stays=True)
+    return without(kept, hits)
 
 
 def without(docs: DataFrame, hits: DataFrame) -> DataFrame:
     gone = spare(docs.columns, "n_dropped")
-    rest = strip_lines(docs, settle(hits, "template-hits"), gone)
+    rest = strip_lines(docs, hits, gone)
     return rest.filter((F.col(gone) == 0) | F.rlike("text", F.lit(rf"[^{SPACE}]"))).drop(gone)
 
 
 def op4(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """One row per document: lines, dropped lines, and the digest of the text that stays (NULL for a NULL text)."""
     docs = docs.select("doc_id", "text")
-    hits = settle(recurring(docs, tree), "template-hits")
+    hits = recurring(docs, tree)
     lines = docs.withColumn("n_lines", F.size(F.split(whole("text"), "\n")).cast("long"))
     return strip_lines(lines, hits, "n_dropped").select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256")
