@@ -25,7 +25,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more. Long lines shared by those that stay go."""
-    return templates.drop_passages(settle(minhash.keep_one(docs), "near-kept"))
+    stay = minhash.survivors(docs)
+    return templates.drop_passages(docs, among=lambda rows: minhash.only(rows, stay))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
