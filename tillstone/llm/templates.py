@@ -175,7 +175,8 @@ def literals(docs: DataFrame, places: DataFrame) -> DataFrame:
         F.collect_list(F.struct("i", "leaf", "literal")).alias("places")
     )
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    texts = texts.join(here, same(F.col("doc_id"), F.col("p_id")) & (F.col("text_hash") == F.col("p_hash")))
+    # One plan at every size: places are as many as there are distinct lines.
+    texts = texts.join(here.hint("merge"), same(F.col("doc_id"), F.col("p_id")) & (F.col("text_hash") == F.col("p_hash")))
     lines = let(
         F.split(whole("text"), "\n"),
         lambda lines: F.transform("places", lambda p: F.struct(p.leaf.alias("leaf"), p.literal.alias("literal"), masked(F.get(lines, p.i)).alias("tokens"))),
