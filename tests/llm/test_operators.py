@@ -232,6 +232,24 @@ def test_reordered_passages_leak_and_clean_texts_stay(spark, documents):
     assert sorted(r.doc_id for r in tiling.clean(documents(rows), bench).collect()) == [3, 4, 5]
 
 
+@pytest.mark.parametrize("block_words", [500_000, 20, 5])
+def test_leaks_do_not_depend_on_the_blocks(spark, documents, block_words):
+    items = [("1", "alpha beta gamma delta epsilon zeta"), ("1", "alpha beta gamma delta epsilon zeta"), ("2", "alpha\tbeta\ngamma delta epsilon"),
+             ("1", "one two three four five six"), (None, "uno dos tres quatro cinco"), ("3", "the"), ("4", "the of and a")]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    docs = documents([(1, "So: alpha beta gamma delta epsilon zeta the of and a"), (2, "one two three four five six"), (3, "uno dos tres quatro cinco the"), (4, "the"), (4, "the")])
+    got = tiling.overlaps(docs, table, tiling.Tiling(block_words=block_words)).collect()
+    assert sorted((r.doc_id, [(x.item_id, x.coverage) for x in r.leaks]) for r in got) == [
+        (1, [("1", 1.0), ("2", 1.0)]), (2, [("1", 1.0)]), (3, [(None, 1.0)]), (4, []), (4, []),
+    ]
+
+
+def test_words_are_counted_as_they_are_found(spark):
+    texts = ["a b", "a\nb\tc", "", " ,. ", "it's 3.5", "日本 é-ü🙂x", "x" * 100]
+    counted = spark.createDataFrame([(t,) for t in texts], "text string").select("text", F.regexp_count("text", F.lit(tiling.WORD)).alias("n")).collect()
+    assert {r.text: r.n for r in counted} == {t: len(tiling.plain_words(t.encode())) for t in texts}
+
+
 def highest_quotients(votes, seats):
     quota = Counter()
     for _ in range(seats):

@@ -19,7 +19,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstone.llm.common import settle, spare
@@ -28,17 +28,21 @@ from tillstone.llm.common import settle, spare
 PLAIN = bytes(
     c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
+#: A word as ``plain_words`` finds it.
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Tiling:
     """``seed`` words make a seed and the shortest tile; an item shorter than that is its own seed. ``cover`` is the
-    share of an item's words from which a text counts as holding it. ``block_words`` bounds what a pass carries."""
+    share of an item's words from which a text counts as holding it. Items of fewer than ``least`` words are no passages:
+    texts have them by chance. ``block_words`` is about what a pass carries; an item is never parted."""
 
     seed: int = 5
     cover: float = 0.8
     block_words: int = 500_000
+    least: int = 5
 
 
 def plain_words(text: bytes | None) -> list[bytes]:
@@ -152,27 +156,28 @@ def overlaps(docs: DataFrame, items: DataFrame, how: Tiling = Tiling()) -> DataF
     """One row per row of ``docs``: ``doc_id``, ``text_hash`` and ``leaks``, the items it holds with their coverage.
 
     ``items`` has ``item_id`` and ``text``. NULL and empty texts, and items
-    without a word, match nothing; repeated items count one by one; item ids
-    are returned as text. No items, no leaks. Other columns are not looked at.
+    of fewer than ``least`` words, match nothing. An item_id is returned once, as
+    text, with the highest coverage of the texts it has, however many blocks
+    the items make. No items, no leaks. Other columns are not looked at.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     leak = "leaks array<struct<item_id:string,coverage:double>>"
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    words = F.size(F.split(F.coalesce("text", F.lit("")), " "))
-    numbered = items.select(F.col("item_id").cast("string").alias("item_id"), "text", words.alias("n")).select(
-        "item_id", "text", F.floor(F.sum("n").over(Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, 0)) / how.block_words).alias("block")
-    )
-    numbered = settle(numbered, "tiling-items")
-    blocks = [r[0] for r in numbered.select("block").distinct().orderBy("block").collect()]
+    words = F.regexp_count("text", F.lit(WORD)).alias("n")
+    known = items.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
+    known = settle(known.select("*", words).filter(F.col("n") >= how.least), "tiling-items")
+    blocks = -(-(known.agg(F.sum("n")).first()[0] or 0) // how.block_words)
+    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))
     found = None
-    for block in blocks or [None]:
-        rows = [tuple(r) for r in numbered.filter(F.col("block") == block).select("item_id", "text").collect()] if block is not None else []
+    for block in range(max(1, blocks)):
+        rows = [tuple(r) for r in known.filter(place == block).select("item_id", "text").collect()]
         part = texts.mapInPandas(tiler(rows, how), f"doc_id {kind}, text_hash long, {leak}")
         found = part if found is None else found.union(part)
-    if len(blocks) > 1:
+    if blocks > 1:
         # A pass found items of its own; put together for each text, then given to each row that has it.
-        merged = found.filter(F.size("leaks") > 0).select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_text"), F.explode("leaks").alias("x"))
-        merged = merged.distinct().groupBy("m_id", "m_text").agg(F.sort_array(F.collect_list("x")).alias("leaks"))
+        each = found.filter(F.size("leaks") > 0).select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_text"), F.inline("leaks"))
+        each = each.groupBy("m_id", "m_text", "item_id").agg(F.max("coverage").alias("coverage"))
+        merged = each.groupBy("m_id", "m_text").agg(F.sort_array(F.collect_list(F.struct("item_id", "coverage"))).alias("leaks"))
         own = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_text"))
         found = texts.drop("text").join(merged, own, "left").select(
             "doc_id", "text_hash", F.coalesce("leaks", F.array().cast(merged.schema["leaks"].dataType)).alias("leaks")
@@ -186,8 +191,11 @@ def tiler(rows: list[tuple], how: Tiling):
         for batch in batches:
             leaks = []
             for text in batch["text"]:
-                covers = [(i, n / of) for i, n, of in items.covers(text)] if items.items else []
-                leaks.append([{"item_id": i, "coverage": c} for i, c in sorted(covers) if c >= how.cover])
+                best: dict[str | None, float] = {}
+                for i, n, of in items.covers(text) if items.items else []:
+                    if n / of >= how.cover:
+                        best[i] = max(best.get(i, 0), n / of)
+                leaks.append([{"item_id": i, "coverage": best[i]} for i in sorted(best, key=lambda i: (i is not None, i or ""))])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "leaks": leaks})
 
     return run
