@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import product
 
 import pytest
 import sentencepiece
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tillstone.llm import archives, langid, minhash, mixing, secrets, templates, tiling, tokens, urls
+from tillstone.llm import archives, langid, minhash, mixing, quality, secrets, templates, tiling, tokens, urls
 from tillstone.llm.components import components
 
 COUNTING = tokens.Counting()
@@ -250,6 +251,16 @@ def test_words_are_counted_as_they_are_found(spark):
     assert {r.text: r.n for r in counted} == {t: len(tiling.plain_words(t.encode())) for t in texts}
 
 
+def test_a_text_is_screened_by_its_own_host(documents):
+    """The same text under one id in two hosts: a line that is frequent in one of them goes there only."""
+    words = " ".join(f"w{i}" for i in range(70))
+    rows = [(1, f"{words}\nsome banner of a host", "en", s) for s in ("a", "b")]
+    other = ["".join(p) for p in product("abcde", repeat=5)]  # digits would be alike
+    rows += [(10 + i, " ".join(other[70 * i : 70 * i + 70]) + "\nsome banner of a host", "en", "a") for i in range(40)]
+    kept = {(r.doc_id, r.source): r.text for r in quality.screen(documents(rows)).collect()}
+    assert kept[1, "a"] == words and kept[1, "b"] == f"{words}\nsome banner of a host" and len(kept) == 42
+
+
 def highest_quotients(votes, seats):
     quota = Counter()
     for _ in range(seats):

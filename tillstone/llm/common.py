@@ -93,16 +93,17 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
-def strip_lines(docs: DataFrame, hits: DataFrame, counted: str | None = None) -> DataFrame:
+def strip_lines(docs: DataFrame, hits: DataFrame, counted: str | None = None, key_of: Column | None = None) -> DataFrame:
     """``docs`` without the lines that ``hits`` names; ``counted`` adds a column with their number.
 
     ``hits`` has one row for each (``doc_id``, ``text_hash``) with the numbers
-    of its lines, from 0, in ``lines``. Documents without a hit pass unchanged.
+    of its lines, from 0, in ``lines``; ``text_hash`` is a hash of the text, or
+    ``key_of`` where the caller's rows have that. Documents without a hit pass unchanged.
     ``n_chars`` follows the text where the table has it.
     """
     key, hit, gone, found = (spare(docs.columns, n) for n in ("text_hash", "hit_hash", "gone_lines", "found_id"))
     hits = hits.select(F.col("doc_id").alias(found), F.col("text_hash").alias(hit), F.col("lines").alias(gone))
-    joined = docs.withColumn(key, F.xxhash64("text")).join(
+    joined = docs.withColumn(key, F.xxhash64("text") if key_of is None else key_of).join(
         hits, same(F.col("doc_id"), F.col(found)) & (F.col(key) == F.col(hit)), "left"
     )
     kept = let(

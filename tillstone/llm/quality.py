@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import GAP, let, same, settle, spare, strip_lines, whole, words_of
+from tillstone.llm.common import GAP, let, passing, same, settle, spare, strip_lines, whole, words_of
 
 SYMBOLS = "#*$%&|<>"
 #: Low bits of a packed window hold its position, the rest a part of its hash.
@@ -98,12 +98,18 @@ def measure(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         host.alias("host"),
-        F.xxhash64("text").alias("text_hash"),
+        F.xxhash64(whole("text")).alias("text_hash"),
+        place_hash(docs).alias("place_hash"),
         facts.alias("facts"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         let(worded, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
         per_line.alias("lines"),
-    ).select("row", "doc_id", "host", "text_hash", "facts.*", "n_symbols", "n_dup_lines", "lines")
+    ).select("row", "doc_id", "host", "text_hash", "place_hash", "facts.*", "n_symbols", "n_dup_lines", "lines")
+
+
+def place_hash(docs: DataFrame) -> Column:
+    """Tells the texts of one ``doc_id`` apart, also equal ones of different hosts, which are judged by different limits."""
+    return F.xxhash64("text", F.lit(1), "source") if "source" in docs.columns else F.xxhash64("text")
 
 
 def _words_in(normal: Column) -> Column:
@@ -160,15 +166,16 @@ def screen(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     Lines are only taken from documents that stay, and all columns are kept.
     """
-    verdicts = settle(judge(docs, limits).select("doc_id", "text_hash", "kept", "gone"), "quality-verdicts")
+    with passing(docs.sparkSession):
+        verdicts = settle(judge(docs, limits).select("doc_id", F.col("place_hash").alias("text_hash"), "kept", "gone"), "quality-verdicts", stays=True)
     bad = verdicts.filter(~F.col("kept")).select("doc_id", "text_hash").distinct()
     hits = verdicts.filter("kept and gone is not null").dropDuplicates(["doc_id", "text_hash"])
     key, bad_id = spare(docs.columns, "text_hash"), spare(docs.columns, "bad_id")
     bad = bad.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(key + "_bad"))
-    good = docs.withColumn(key, F.xxhash64("text")).join(
+    good = docs.withColumn(key, place_hash(docs)).join(
         bad, same(F.col("doc_id"), F.col(bad_id)) & (F.col(key) == F.col(key + "_bad")), "left_anti"
     )
-    return strip_lines(good.drop(key), hits.select("doc_id", "text_hash", F.col("gone").alias("lines")))
+    return strip_lines(good.drop(key), hits.select("doc_id", "text_hash", F.col("gone").alias("lines")), key_of=place_hash(docs))
 
 
 def op5(docs: DataFrame) -> DataFrame:
