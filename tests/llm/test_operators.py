@@ -312,6 +312,56 @@ def test_secrets_by_pattern_and_battery(documents):
     assert (got[5].n_assign, got[5].n_access, got[5].n_hex, got[5].base_sha256) == (0, 0, 0, hashlib.sha256(b"").hexdigest())
 
 
+def base_spans(text):
+    """The contract's base, by Python's patterns: (start, kind, end) by start, then kind."""
+    name = "|".join(f"(?i:{n})" for n in ("password", "passwd", "secret", "token", "api_?key"))
+    found = [(m.start(), 0, m.end()) for m in re.finditer(rf"""({name})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def test_base_of_secrets_as_python_patterns(documents):
+    rng = random.Random(3)
+    pieces = ["password", "PassWd", "SECRET", "token", "api_key", "apikey", "ApiKEY", '"', "'", " ", "  ", ":", "=", "\t", "\n", "é", "🙂", "AKIA", "ABCD2345EFGH",
+              "0af3" * 4, "deadbeef" * 4, "hunter2x", "a.b=c-d_e+f/", "short", "K", "ſ", "日本"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 40))) for _ in range(400)]
+    got = {r.doc_id: r for r in secrets.op1(documents(list(enumerate(texts)))).collect()}
+    hits = 0
+    for i, text in enumerate(texts):
+        spans = base_spans(text)
+        hits += len(spans)
+        written = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in spans)
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(k == kind for _, k, _ in spans) for kind in range(3)), text
+        assert got[i].base_sha256 == hashlib.sha256(written.encode()).hexdigest(), text
+        assert [s for s in got[i].spans.split(",") if s and not s.startswith("random")] == [s for s in written.split(",") if s]
+    assert hits > 200
+
+
+WORDS = ("get user name account manager response handler factory default value parser configuration service client request builder stream buffer "
+         "session cache policy network socket registry provider repository schema result cluster strassen bahn versicherung gesellschaft").split()
+
+
+@pytest.mark.parametrize("share", [0, 50, 300])
+def test_random_tokens_among_names_and_slugs(documents, share):
+    """Letters alone are found; identifiers, slugs and long words are left alone, whatever the share of secrets."""
+    rng, letters, texts = random.Random(12), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", []
+    for _ in range(100):
+        parts = rng.sample(WORDS, 6)
+        texts += ["".join(w.title() for w in parts) + str(rng.randint(1, 99)), "-".join(w.title() for w in parts), "".join(parts)]
+    plain = len(texts)
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(32, 64))) for _ in range(share)]
+    got = {r.doc_id: r.n_random for r in secrets.op1(documents([(i, f"see {t} there") for i, t in enumerate(texts)])).collect()}
+    assert sum(got[i] for i in range(plain)) <= 0.05 * max(plain, share) / 2
+    assert sum(got[i] for i in range(plain, len(texts))) >= 0.95 * share
+
+
+def test_what_is_neither_prose_nor_chance(documents):
+    rows = ["0123456789abcdefABCDEF" * 3, "a1" * 20, "abcdefghijklmnopqrstuvwxyz" * 2, "Aa1" * 16, "0" * 39 + "a"]
+    got = secrets.op1(documents(list(enumerate(rows)))).collect()
+    assert sum(r.n_random for r in got) == 0
+
+
 def test_language_of_held_out_and_mixed_texts(documents):
     rng = random.Random(4)
     syllables = {"aa": ["ka", "lo", "mi", "tor"], "bb": ["sch", "ung", "zer", "ver"]}

@@ -1,12 +1,13 @@
 """Secret scans: patterns, and a battery of randomness tests over long tokens.
 
-A token of an encoding (hex, base32, base36, base64) is taken for a secret
-unless the battery shows that its symbols are not random: chi-squared for the
-uniformity of the alphabet, runs above and below its middle, and correlation of
-neighbours. How small a p-value must be is controlled for each encoding and
-length class over the whole corpus, so a class of many tokens does not lose its
-secrets to chance. All of it is column expressions; the corpus-wide step is a
-histogram of bounded size.
+A token of an encoding (hex, base26 to base64) is a secret if it cannot be
+text, by evidence of the battery: its letters are too uniform, its runs of one
+kind of character too short, and vowels and consonants follow each other as
+chance has it. The null hypothesis is a token put together from words, so few
+symbols are little evidence. Benjamini and Hochberg's procedure bounds the share
+of false secrets in each encoding and length class over the whole corpus. What
+rejects randomness as well (a counter, few symbols in turn) is no secret either. All
+of it is column expressions; the corpus-wide step is a histogram of bounded size.
 """
 
 from __future__ import annotations
@@ -35,9 +36,11 @@ DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 #: Encoding, what the token must look like, and the alphabet its symbols are numbered by.
 ENCODINGS = (
     ("hex", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$|^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", DIGITS + LOWER[:6]),
+    ("base26", r"^[a-z]+$|^[A-Z]+$", LOWER),
     ("base32", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", LOWER + DIGITS[2:8]),
     ("base36", r"^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+$|^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+$", DIGITS + LOWER),
-    ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]+=*$", LOWER.upper() + LOWER + DIGITS + "+/"),
+    ("base52", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", LOWER.upper() + LOWER),
+    ("base64", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]+=*$", LOWER.upper() + LOWER + DIGITS + "+/"),
 )
 #: p-values are kept as steps of a fiftieth of a power of ten, down to 1e-20.
 STEPS, LAST_STEP = 50, 1000
@@ -45,12 +48,31 @@ STEPS, LAST_STEP = 50, 1000
 
 @dataclass(frozen=True)
 class Control:
-    """``rate`` of the tokens dismissed in a class that may be random after all; values shorter than ``assigned`` are no secrets."""
+    """``rate``: the share of a class's secrets that may be text after all. A random token is dismissed with
+    probability ``level``. Values shorter than ``assigned`` are no secrets."""
 
-    rate: float = 0.01
+    rate: float = 0.05
+    level: float = 0.001
     assigned: int = 8
 
 
+@dataclass(frozen=True)
+class Prose:
+    """What tokens put together from words are like, on the cautious side for the languages of Europe.
+
+    ``pair`` and ``triple`` are the chances that two or three letters of a text are the same, ``turn`` that a vowel
+    follows a consonant or the other way round, ``run`` that a character begins a word or number, ``number`` the same
+    in tokens of one case. ``hex`` is the share of letters up to f.
+    """
+
+    pair: float = 0.0667
+    triple: float = 0.0055
+    turn: float = 0.58
+    run: float = 0.28
+    number: float = 0.2
+    hex: float = 0.3
+
+
 def matches(text: Column, kind: str) -> Column:
     """The matches of a kind in order, each with the number of characters since the last one."""
     pattern = F.lit(PATTERNS[kind])
@@ -89,54 +111,94 @@ def tail(z: Column) -> Column:
     return F.when(z >= 0, upper).otherwise(1 - upper)
 
 
-def tested(tokens: DataFrame) -> DataFrame:
-    """Tokens of an encoding with ``encoding``, ``size_class`` and ``step``, the p-value of the battery as a step."""
-    encoding, alphabet = F, F
-    for name, looks, symbols in ENCODINGS:
-        fits = F.rlike("hit", F.lit(looks))
-        encoding, alphabet = encoding.when(fits, F.lit(name)), alphabet.when(fits, F.lit(symbols))
-    plain = F.translate(F.col("hit"), "-_=", "+/")
-    value = F.when(F.col("encoding") == "base64", plain).otherwise(F.lower(plain))
-    known = tokens.withColumn("encoding", encoding).withColumn("alphabet", alphabet).filter("encoding is not null")
-    known = known.withColumn("value", value)
-    n, m = F.length("value").cast("double"), F.length("alphabet").cast("double")
+def step(p: Column) -> Column:
+    p = F.greatest(F.lit(1e-300), F.least(F.lit(1.0), p))
+    return F.least(F.lit(LAST_STEP), F.floor(-F.log10(p) * STEPS)).cast("int")
+
+
+def against_prose(hit: Column, prose: Prose) -> Column:
+    """The p-value of a token under the hypothesis that it is made of words.
+
+    One-sided normal statistics, added up: equal pairs of letters (the uniformity
+    of the alphabet), runs of a word or number, neighbours that differ in being
+    a vowel. Runs say nothing where all are letters of one case. A hex token is
+    judged by its letters, which words would seldom take from the first six.
+    """
+    low = F.lower(hit)
+    letters = F.regexp_count(low, F.lit("[a-z]")).cast("double")
+    counts = F.transform(F.split(F.lit(LOWER), ""), lambda c: F.regexp_count(low, c).cast("double"))
+    equal = F.aggregate(counts, F.lit(0.0), lambda s, c: s + c * (c - 1) / 2)
+    pairs = letters * (letters - 1) / 2
+    spread = pairs * (prose.pair - prose.pair**2) + pairs * 2 * (letters - 2) * (prose.triple - prose.pair**2)
+    uniform = F.when(letters > 2, (pairs * prose.pair - equal) / F.sqrt(spread))
+    neighbours = F.regexp_count(low, F.lit("[a-z](?=[a-z])")).cast("double")
+    turned = F.regexp_count(low, F.lit("[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])"))
+    serial = F.when(neighbours > 0, (neighbours * prose.turn - turned) / F.sqrt(neighbours * prose.turn * (1 - prose.turn)))
+    signs = F.regexp_count(hit, F.lit("[A-Za-z0-9]")).cast("double")
+    mixed = F.rlike(hit, F.lit("[a-z]")) & F.rlike(hit, F.lit("[A-Z]"))
+    began = F.when(mixed, F.regexp_count(hit, F.lit("[A-Z]?[a-z]+|[A-Z]|[0-9]+"))).otherwise(F.regexp_count(low, F.lit("[a-z]+|[0-9]+")))
+    runs = F.when(
+        (mixed | F.rlike(hit, F.lit("[0-9]"))) & (signs > 0),
+        let(F.when(mixed, prose.run).otherwise(prose.number), lambda q: (began - signs * q) / F.sqrt(signs * q * (1 - q))),
+    )
+    told = F.filter(F.array(uniform, serial, runs), lambda z: z.isNotNull())
+    z = F.aggregate(told, F.lit(0.0), lambda s, x: s + x) / F.sqrt(F.greatest(F.lit(1), F.size(told)).cast("double"))
+    return F.when(F.col("encoding") == "hex", F.pow(F.lit(prose.hex), letters)).otherwise(tail(z))
+
+
+def against_chance(value: Column, alphabet: Column) -> Column:
+    """The p-value of a token under the hypothesis that all its symbols are drawn alike: chi-squared, runs, serial correlation."""
+    n, m = F.length(value).cast("double"), F.length(alphabet).cast("double")
     squares = F.aggregate(
         F.transform(
-            F.sequence(F.lit(1), F.length("alphabet")),
-            lambda k: F.length("value") - F.length(F.replace(F.col("value"), F.substring(F.col("alphabet"), k, F.lit(1)), F.lit(""))),
+            F.sequence(F.lit(1), F.length(alphabet)),
+            lambda k: F.length(value) - F.length(F.replace(value, F.substring(alphabet, k, F.lit(1)), F.lit(""))),
         ),
         F.lit(0.0),
         lambda s, c: s + c.cast("double") * c,
     )
     chi = m / n * squares - n
-    places = F.transform(
-        F.sequence(F.lit(1), F.length("value")),
-        lambda i: F.instr(F.col("alphabet"), F.substring(F.col("value"), i, F.lit(1))).cast("double") - 1 - (m - 1) / 2,
-    )
-    # Symbol numbers around their mean: turns are changes of sign, and neighbours' products have mean 0.
-    turns = F.aggregate(
-        F.transform("places", lambda x, i: F.when((x > 0) != (F.get("places", i + 1) > 0), 1.0).otherwise(0.0)),
-        F.lit(0.0), lambda s, x: s + x,
+    numbers = F.transform(
+        F.sequence(F.lit(1), F.length(value)),
+        lambda i: F.instr(alphabet, F.substring(value, i, F.lit(1))).cast("double") - 1 - (m - 1) / 2,
     )
-    products = F.aggregate(
-        F.transform("places", lambda x, i: x * F.coalesce(F.get("places", i + 1), F.lit(0.0))), F.lit(0.0), lambda s, x: s + x
-    )
-    known = known.withColumn("places", places)
-    scored = known.select(
+
+    def combined(places: Column) -> Column:
+        # Symbol numbers around their mean: turns are changes of sign, and neighbours' products have mean 0.
+        turns = F.aggregate(
+            F.transform(places, lambda x, i: F.when((x > 0) != (F.get(places, i + 1) > 0), 1.0).otherwise(0.0)),
+            F.lit(0.0), lambda s, x: s + x,
+        )
+        products = F.aggregate(
+            F.transform(places, lambda x, i: x * F.coalesce(F.get(places, i + 1), F.lit(0.0))), F.lit(0.0), lambda s, x: s + x
+        )
+        uniform = (chi - (m - 1)) / F.sqrt(2 * (m - 1) * (n - 1) / n)
+        turned = (turns - (n - 1) / 2) / (F.sqrt(n - 1) / 2)
+        serial = products / ((m * m - 1) / 12) / F.sqrt(n - 1)
+        return 3 * F.least(tail(uniform), 2 * tail(F.abs(turned)), 2 * tail(F.abs(serial)))
+
+    return let(numbers, combined)
+
+
+def tested(tokens: DataFrame, prose: Prose = Prose()) -> DataFrame:
+    """Tokens of an encoding with ``encoding``, ``size_class``, ``step`` (the p-value under prose) and ``chance`` (under chance)."""
+    encoding, alphabet = F, F
+    for name, looks, symbols in ENCODINGS:
+        fits = F.rlike("hit", F.lit(looks))
+        encoding, alphabet = encoding.when(fits, F.lit(name)), alphabet.when(fits, F.lit(symbols))
+    plain = F.translate(F.col("hit"), "-_=", "+/")
+    value = F.when(F.col("encoding").isin("base52", "base64"), plain).otherwise(F.lower(plain))
+    known = tokens.withColumn("encoding", encoding).withColumn("alphabet", alphabet).filter("encoding is not null")
+    return known.withColumn("value", value).select(
         "row", "kind", "start", "end", "encoding",
-        F.floor(F.log2(n)).cast("int").alias("size_class"),
-        ((chi - (m - 1)) / F.sqrt(2 * (m - 1) * (n - 1) / n)).alias("uniform"),
-        ((turns - (n - 1) / 2) / (F.sqrt(n - 1) / 2)).alias("turns"),
-        (products / ((m * m - 1) / 12) / F.sqrt(n - 1)).alias("serial"),
+        F.floor(F.log2(F.length("value"))).cast("int").alias("size_class"),
+        step(against_prose(F.col("hit"), prose)).alias("step"),
+        against_chance(F.col("value"), F.col("alphabet")).alias("chance"),
     )
-    least = F.least(tail(F.col("uniform")), 2 * tail(F.abs("turns")), 2 * tail(F.abs("serial")))
-    p = F.greatest(F.lit(1e-300), F.least(F.lit(1.0), 3 * least))
-    step = F.least(F.lit(LAST_STEP), F.floor(-F.log10(p) * STEPS)).cast("int")
-    return scored.select("row", "kind", "start", "end", "encoding", "size_class", step.alias("step"))
 
 
 def cutoffs(scored: DataFrame, control: Control) -> DataFrame:
-    """(c_encoding, c_class, cutoff): the step from which the battery rejects randomness, by Benjamini and Hochberg.
+    """(c_encoding, c_class, cutoff): the step from which a token is no prose, by Benjamini and Hochberg.
 
     A class of m tokens, k of them at a step or beyond, rejects from the first
     step whose p-value is at most rate * k / m. At most one row for each
@@ -168,8 +230,8 @@ def scan(docs: DataFrame, control: Control = Control()) -> DataFrame:
     scored = settle(tested(spans.filter(F.col("kind") == 3)), "secret-tested")
     # A few rows: encodings times powers of two.
     limits = F.broadcast(cutoffs(scored, control))
-    passed = scored.join(limits, (F.col("encoding") == F.col("c_encoding")) & (F.col("size_class") == F.col("c_class")), "left")
-    passed = passed.filter(F.col("cutoff").isNull() | (F.col("step") < F.col("cutoff")))
+    passed = scored.join(limits, (F.col("encoding") == F.col("c_encoding")) & (F.col("size_class") == F.col("c_class")))
+    passed = passed.filter((F.col("step") >= F.col("cutoff")) & (F.col("chance") >= control.level))
     both = base.select("row", "kind", "start", "end").union(passed.select("row", "kind", "start", "end"))
     by_start = Window.partitionBy("row").orderBy("start", "kind")
     is_base = F.col("kind") < 3
