@@ -408,7 +408,7 @@ def test_segmentation_as_all_splits():
     words, total, how = {"spam": 40, "farm": 30, "am": 20, "far": 5, "m": 3, "s": 2, "pam": 1}, 1000, urls.Words()
 
     def cost(split):
-        return sum(math.log(words[w] / total) if w in words else math.log(how.unseen / total) - len(w) * math.log(10) for w in split)
+        return sum(math.log(words[w] / 1010) if w in words else math.log(10 / 1010) - len(w) * math.log(10) for w in split)
 
     part = "spamfarmx"
     splits = []
@@ -430,6 +430,62 @@ def test_bayes_learns_from_rules(spark):
     assert (got[201].verdict, got[202].rule, got[202].verdict) == ("allow", "example.org/en/1", "block")
 
 
+def test_unseen_words_stay_whole_beside_little_text():
+    for total in (0, 1, 3, 1000):
+        assert urls.viterbi("xexample", {}, total, urls.Words()) == ["xexample"]
+
+
+def test_joined_names_are_split_in_host_and_path(spark):
+    vocabulary = "garden tools cheap watches repair school lunch menu winter travel".split()
+    html = "<p>" + " ".join(f"{a} and {b}" for a in vocabulary for b in vocabulary) + "</p>"
+    rng, rows = random.Random(4), []
+    for i in range(60):
+        host, path = rng.sample(vocabulary, rng.randint(1, 3)), [rng.sample(vocabulary, rng.randint(1, 3)) for _ in range(rng.randint(0, 3))]
+        rows.append((i, host, path, f"http://{''.join(host)}.example.net/" + "/".join(map("".join, path)) + f"-{i}"))
+    pages = spark.createDataFrame([(i, u, html) for i, _, _, u in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.words.split() for r in urls.op3(pages).collect()}
+    for i, host, path, _ in rows:
+        wanted = [f"h:{w}" for w in (*host, "example", "net")] + [f"p:{w}" for part in path for w in part]
+        assert got[i] == [*wanted, "p:" + "0" * len(str(i))]
+
+
+def test_rules_hosts_and_verdicts_as_brute_force(spark):
+    import math
+
+    rng = random.Random(8)
+    hosts = ["org", "a.org", "EXAMPLE.org", "x.Example.ORG", "notexample.org", "b.com", "com", "example.net", "É.org", "org.net", ""]
+    paths = ["", "/", "/es/", "/es", "/en/1", "/en/17/x", "/fr/a", "/de/b", "/FR/", "/ab/cd"]
+    made = [None, "", "no scheme", "a://b://c/d"] + [
+        f"{rng.choice(['http', 'https', ''])}://{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', '?q=/es/', '#/de/', '?a#b'])}" for _ in range(300)
+    ]
+    pages = spark.createDataFrame([(i, u, "") for i, u in enumerate(made)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in urls.op3(pages).collect()}
+    assert len(got) == len(made)
+    wanted = []
+    for u in made:
+        rest = (u or "").partition("://")[2]
+        host = re.split(r"[/?#]", rest)[0]
+        path = re.split(r"[?#]", rest[len(host):])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+        fits = [(h + p, v) for v, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        wanted.append((host, path, *max(fits, key=lambda f: len(f[0]), default=(None, None))))
+    assert [(got[i].host, got[i].path, got[i].rule) for i in range(len(made))] == [w[:3] for w in wanted]
+    # The verdicts of the others: naive Bayes over the words the query shows, learnt from the rules' pages.
+    seen, counts = Counter(), {"allow": Counter(), "block": Counter()}
+    for i, w in enumerate(wanted):
+        if w[3]:
+            seen[w[3]] += 1
+            counts[w[3]].update(got[i].words.split())
+    size, sums = len(counts["allow"] | counts["block"]), {v: sum(c.values()) for v, c in counts.items()}
+    for i, w in enumerate(wanted):
+        score = math.log((seen["block"] + 1) / (seen["allow"] + 1))
+        for t in got[i].words.split():
+            if t in counts["allow"] or t in counts["block"]:
+                score += math.log((counts["block"][t] + 1) / (sums["block"] + size)) - math.log((counts["allow"][t] + 1) / (sums["allow"] + size))
+        assert got[i].score == pytest.approx(score, abs=1e-5)
+        assert got[i].verdict == (w[3] or ("block" if got[i].score > 0 else "allow"))
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_of_either_version(version):
     crawl, name = archives.Crawl(), "x.arc"

@@ -1,8 +1,8 @@
 """URL filters: rules first, then naive Bayes over words segmented from host and path.
 
-Host names run words together. A unigram model counted over the pages' own text
-splits them by Viterbi; the words of all host parts are looked up by a join, so
-the model may be of any size. Multinomial naive Bayes learns from the pages that
+Host and path names run words together. A unigram model counted over the pages'
+own text splits them by Viterbi; the words of all their parts are looked up by a
+join, so the model may be of any size. Multinomial naive Bayes learns from the pages that
 a rule decides and judges the others.
 """
 
@@ -34,7 +34,7 @@ RULES = (
 
 @dataclass(frozen=True)
 class Words:
-    """``longest`` letters of a word at most; a word never seen costs as one seen ``unseen`` times, ten times more for each letter."""
+    """``longest`` letters of a word at most; a word never seen is one of ``unseen`` added to the words counted, ten times rarer for each letter."""
 
     longest: int = 24
     unseen: float = 10.0
@@ -65,7 +65,7 @@ def unigrams(pages: DataFrame, how: Words) -> DataFrame:
 
 def segmented(parts: DataFrame, known: DataFrame, how: Words) -> DataFrame:
     """(part, words): each distinct run of letters, split into its likeliest words."""
-    total = known.agg(F.sum("n")).first()[0] or 1
+    total = known.agg(F.sum("n")).first()[0] or 0
     spots = F.flatten(
         F.transform(
             F.sequence(F.lit(1), F.length("part")),
@@ -102,7 +102,7 @@ def viterbi(part: str, known: dict[tuple[int, int], int], total: int, how: Words
         choices = []
         for size in range(1, min(how.longest, end) + 1):
             n = known.get((end - size, size))
-            log = math.log(n / total) if n else math.log(how.unseen / total) - size * math.log(10)
+            log = math.log((n or how.unseen) / (total + how.unseen)) - (0 if n else size * math.log(10))
             choices.append((best[end - size] + log, size))
         score, size = max(choices)
         best.append(score)
@@ -114,33 +114,35 @@ def viterbi(part: str, known: dict[tuple[int, int], int], total: int, how: Words
     return words[::-1]
 
 
-def token(side: str, part: Column) -> Column:
-    """A word of the host or the path; a number counts as its length."""
-    return F.concat(F.lit(f"{side}:"), F.regexp_replace(part, "[0-9]", "0"))
+def tokens_of(side: str, words: Column) -> Column:
+    """Words of the host or the path; a number counts as its length."""
+    return F.transform(words, lambda w: F.concat(F.lit(f"{side}:"), F.regexp_replace(w, "[0-9]", "0")))
 
 
-def tokenized(urls: DataFrame, pages: DataFrame, how: Words) -> DataFrame:
-    """``urls`` (distinct host, path) with ``tokens``, in order."""
-    hosts = urls.select("host").distinct().select("host", F.regexp_extract_all(F.lower("host"), F.lit(PARTS), F.lit(0)).alias("parts"))
-    hosts = settle(hosts, "url-hosts")
-    parts = hosts.select(F.explode("parts").alias("part")).distinct()
-    split = segmented(parts.filter(F.rlike("part", F.lit("[^0-9]"))), settle(unigrams(pages, how), "url-words"), how)
-    split = settle(split, "url-parts").withColumnRenamed("part", "s_part")
-    words = (
-        hosts.select("host", F.posexplode("parts").alias("i", "part"))
+def spelled(names: DataFrame, split: DataFrame) -> DataFrame:
+    """(name, words): the parts of each distinct name in order, each as the words ``split`` has for it, else as it is."""
+    return (
+        names.select("name", F.posexplode("parts").alias("i", "part"))
         .join(split, F.col("part") == F.col("s_part"), "left")
-        .groupBy(F.col("host").alias("w_host"))
+        .groupBy(F.col("name").alias("w_name"))
         .agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("words", F.array("part")).alias("words")))).alias("x"))
+        .select("w_name", F.flatten(F.transform("x", lambda x: x.words)).alias("words"))
     )
-    words = settle(words.select("w_host", F.flatten(F.transform("x", lambda x: x.words)).alias("words")), "url-host-words")
-    own = F.regexp_extract_all(F.lower("path"), F.lit(PARTS), F.lit(0))
-    none = F.array().cast("array<string>")
-    return urls.join(words, F.col("host") == F.col("w_host"), "left").select(
-        *urls.columns,
-        F.concat(
-            F.transform(F.coalesce("words", none), lambda w: token("h", w)), F.transform(own, lambda w: token("p", w))
-        ).alias("tokens"),
-    )
+
+
+def tokenized(urls: DataFrame, pages: DataFrame, how: Words) -> DataFrame:
+    """``urls`` (distinct host, path) with ``tokens``, in order: the words of the host, then of the path."""
+    names = urls.select(F.explode(F.array("host", "path")).alias("name")).distinct()
+    names = settle(names.select("name", F.regexp_extract_all(F.lower("name"), F.lit(PARTS), F.lit(0)).alias("parts")), "url-names")
+    parts = names.select(F.explode("parts").alias("part")).distinct()
+    split = segmented(parts.filter(F.rlike("part", F.lit("[^0-9]"))), settle(unigrams(pages, how), "url-words"), how)
+    words = settle(spelled(names, settle(split, "url-parts").withColumnRenamed("part", "s_part")), "url-name-words")
+    none, tokens = F.array().cast("array<string>"), []
+    for side in ("host", "path"):
+        own = words.select(F.col("w_name").alias(f"{side}_name"), F.col("words").alias(f"{side}_words"))
+        urls = urls.join(own, F.col(side) == F.col(f"{side}_name"), "left")
+        tokens.append(tokens_of(side[0], F.coalesce(f"{side}_words", none)))
+    return urls.select("host", "path", "label", "n", F.concat(*tokens).alias("tokens"))
 
 
 def judge(pages: DataFrame, rules: tuple = RULES, how: Words = Words()) -> DataFrame:
