@@ -497,8 +497,34 @@ def test_arc_of_either_version(version):
     assert {r["version"] for r in found} == {version} and not any(r["cut"] for r in found)
     assert [archives.page_of(b) for b in blocks] == ["5", None, None]
     assert list(archives.arc_records(data[:-5]))[-1]["cut"]
-    with pytest.raises(ValueError):
-        list(archives.arc_records(data + b"a line of some other kind\n"))
+    header = len(archives.arc_header(version, name, crawl)) + 1
+    broken = data[:header] + b"a line of some other kind\nhttp://a 1.1.1.1 2025 text/html many\n\n" + data[header:] + b"the end"
+    first, *rest, last = archives.arc_records(broken)
+    assert first["start"] == header and first["unreadable"] + data[header:] + last["unreadable"] == broken[header:]
+    assert [r["block"] for r in rest] == blocks and last["start"] == len(broken) - 7
+    for lost in (data[header:], b"filedesc://x 0 0 text/plain 4\n9 0 ", b"filedesc://x"):
+        assert [(r["unreadable"], r["start"]) for r in archives.arc_records(lost)] == [(lost, 0)]
+
+
+def test_archives_of_bounded_size_and_text_ids(spark, tmp_path):
+    rows = [(f"p{i:03d}" if i % 3 else str(i), f"http://h/{i}", "x" * (i % 7) * 100) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string").repartition(2)
+    crawl = archives.Crawl(archive_bytes=5000)
+    got = {r.page_id: r for r in archives.op6(pages, crawl).collect()}
+    groups = defaultdict(list)
+    for page, _, html in rows:
+        groups[html].append((page.isdigit(), int(page) if page.isdigit() else 0, page))
+    for page, _, html in rows:
+        first = max(groups[html])[2]
+        assert (got[page].payload_bytes, got[page].refers_to) == (len(html), None if page == first else first)
+    archives.write_arc(pages, str(tmp_path / "arc"), crawl)
+    stored = archives.files(spark, str(tmp_path / "arc")).collect()
+    sizes = [len(archives.opened(f.content).read()) for f in stored]
+    assert len(sizes) > 10 and max(sizes) < 5000 + 1000
+    (tmp_path / "arc" / "bad.arc").write_bytes(b"no archive\n")
+    lost = archives.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"), crawl).collect()
+    assert [(r.place, bytes(r.block)) for r in lost] == [("bad.arc#0", b"no archive\n")]
+    assert archives.read_warc(spark, str(tmp_path / "warc")).count() == 200
 
 
 def test_warc_dates_and_records():

@@ -1,8 +1,10 @@
 """Web archives: ARC files of either version, WARC files, and the conversion from one to the other.
 
-Records are rows with a binary block. Archives are written by Spark's text
-sink, a file for each partition, and read as binary files; a task reads a file
-record by record by the declared lengths and never holds more than one.
+Records are rows with a binary block. Archives are written by Spark's text sink,
+as many files of bounded size for each partition as its records need, and read
+as binary files: a task holds one archive as it is stored and parses it record
+by record by the declared lengths. An archive from elsewhere must fit one row,
+which Spark limits to 2 GB.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ ARC_FIELDS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 WARC = "WARC/1.0"
+ARC_END, WARC_END = b"\n", b"\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 #: Rows go on in parts of about this many bytes.
@@ -45,16 +48,47 @@ class Crawl:
     ip: str = "0.0.0.0"
     agent: str = "tillstone"
     least_revisit: int = 0
+    #: An archive ends with the record that brings it to this many bytes, before compression.
+    archive_bytes: int = 256_000_000
 
 
-def sink(rows: DataFrame, path: str, end: str) -> None:
-    """Writes the bytes of ``content``, each row followed by ``end``, gzipped."""
-    text = rows.select(F.col("content").cast("string").alias("content"))
-    text.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("lineSep", end).text(path)
+class Volumes:
+    """The archives of a partition, one after the other: what is written goes into the last begun."""
+
+    schema = "volume int, seq long, content binary"
+
+    def __init__(self, kind: str, end: bytes, limit: int) -> None:
+        self.partition, self.kind, self.end, self.limit = TaskContext.get().partitionId(), kind, len(end), limit
+        self.volume, self.seq, self.offset = -1, 0, limit
+
+    def full(self) -> bool:
+        return self.offset >= self.limit
+
+    def begin(self) -> str:
+        """The name of a new archive."""
+        self.volume, self.offset = self.volume + 1, 0
+        return f"part-{self.partition:05d}-{self.volume:05d}.{self.kind}"
+
+    def row(self, record: bytes) -> tuple[int, int, bytes]:
+        self.seq, self.offset = self.seq + 1, self.offset + len(record) + self.end
+        return self.volume, self.seq, record
+
+
+def sink(rows: DataFrame, path: str, end: bytes) -> None:
+    """Writes the bytes of ``content``, each row followed by ``end``, gzipped, a folder for each ``volume``."""
+    text = rows.sortWithinPartitions("volume", "seq").select("volume", F.col("content").cast("string").alias("content"))
+    lines = text.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("lineSep", end.decode())
+    lines.partitionBy("volume").text(path)
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+
+
+def file_of(path: str) -> str:
+    """A name for an archive that a rerun of the job that writes it does not change."""
+    own = re.search(r"(volume=\d+/part-\d+)[^/]*$", path)
+    return own[1] if own else path.rsplit("/", 1)[1]
 
 
 def parts(rows: Iterator[tuple], names: list[str]) -> Iterator[pd.DataFrame]:
@@ -101,63 +135,84 @@ def arc_record(version: int, name: str, offset: int, url: str, block: bytes, cra
 
 
 def write_arc(pages: DataFrame, path: str, crawl: Crawl = Crawl()) -> None:
-    """An ARC file for each partition of (page_id, url, html), version 1 and 2 in turn.
+    """ARC files of each partition of (page_id, url, html), version 1 and 2 in turn.
 
     A NULL html is an empty payload, a NULL or empty url is ``-``; blanks and
     control characters in a url are percent-encoded, as the header needs.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = TaskContext.get().partitionId()
-        version, name = 1 + number % 2, f"part-{number:05d}.arc"
+        archive = Volumes("arc", ARC_END, crawl.archive_bytes)
+        version = 1 + archive.partition % 2
 
         def records() -> Iterator[tuple]:
-            offset = 0
+            name = ""
             for batch in batches:
                 for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"]):
-                    if not offset:
-                        yield (record := arc_header(version, name, crawl),)
-                        offset += len(record) + 1
-                    yield (record := arc_record(version, name, offset, url, http_response(page_id, html or b""), crawl),)
-                    offset += len(record) + 1
+                    if archive.full():
+                        name = archive.begin()
+                        yield archive.row(arc_header(version, name, crawl))
+                    yield archive.row(arc_record(version, name, archive.offset, url, http_response(page_id, html or b""), crawl))
 
-        yield from parts(records(), ["content"])
+        yield from parts(records(), ["volume", "seq", "content"])
 
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", F.col("html").cast("binary").alias("html"))
-    sink(rows.mapInPandas(run, "content binary"), path, "\n")
+    sink(rows.mapInPandas(run, Volumes.schema), path, ARC_END)
+
+
+def arc_fields(line: bytes, names: list[str]) -> dict[str, str] | None:
+    """The fields of a header line; None if it is none. Those after the url are split off from the right, as old urls may hold blanks."""
+    values = line.rstrip(b"\r\n").rsplit(b" ", len(names) - 1)
+    if len(values) != len(names):
+        return None
+    fields = {n: v.decode("utf-8", "replace") for n, v in zip(names, values)}
+    readable = re.fullmatch("[0-9]+", fields["Archive-length"]) and re.fullmatch("[0-9]{4,14}", fields["Archive-date"])
+    return fields if readable else None
+
+
+def arc_declared(line: bytes, file: io.BufferedReader) -> tuple[int, list[str], bytes] | None:
+    """Version, field names and body of the filedesc record that ``line`` begins; None if it is none of a known version."""
+    length = line.rstrip().rsplit(b" ", 1)[-1]
+    if not line.startswith(b"filedesc://") or not length.isdigit():
+        return None
+    body = file.read(int(length))
+    first, second, *_ = [*body.decode("latin-1").split("\n"), "", ""]
+    number = first.split(" ")[0]
+    return (int(number), second.split(), body) if number in map(str, ARC_FIELDS) and {"Archive-length", "Archive-date"} <= set(second.split()) else None
 
 
 def arc_records(content: bytes) -> Iterator[dict]:
     """The records of an ARC file as dictionaries by the field names that its header declares, with ``block``.
 
-    The fields after the url are split off from the right, as old urls may hold
-    blanks. A record that the file cuts short has what is there and ``cut``.
+    A record that the file cuts short has what is there and ``cut``. What does
+    not begin with a header line is skipped up to the next one, and comes as a
+    dictionary of ``unreadable``, the bytes, and ``start``; so does a whole file
+    without a filedesc record of a known version.
     """
-    file, names, offset = opened(content), None, 0
+    file, declared, offset, skipped = opened(content), None, 0, []
     while line := file.readline():
         start, offset = offset, offset + len(line)
-        if not line.strip():
+        if not line.strip() and not skipped:
             continue
-        fields = line.rstrip(b"\r\n")
-        if names is None:
-            if not line.startswith(b"filedesc://"):
-                raise ValueError("an ARC file begins with a filedesc record")
-            length = int(fields.rsplit(b" ", 1)[1])
-            body = file.read(length)
-            offset += len(body)
-            first, second = body.decode("latin-1").split("\n")[:2]
-            version, names = int(first.split()[0]), second.split()
-            if version not in ARC_FIELDS:
-                raise ValueError(f"ARC version {version}")
+        fields = arc_fields(line, declared[1]) if declared else None
+        if declared is None and (declared := arc_declared(line, file)):
+            offset += len(declared[2])
+        elif fields is None:
+            # A filedesc of unknown form has been read on: its body is parsed as lines.
+            if file.tell() != offset:
+                file.seek(offset)
+            skipped.append(line)
             continue
-        values = fields.rsplit(b" ", len(names) - 1)
-        if len(values) != len(names) or not values[-1].isdigit():
-            raise ValueError(f"not an ARC header line of {len(names)} fields: {fields[:200]!r}")
-        record = {n: v.decode("utf-8", "replace") for n, v in zip(names, values)}
-        length = int(record["Archive-length"])
-        block = file.read(length)
-        offset += len(block)
-        yield record | {"block": block, "cut": len(block) < length, "version": version, "start": start}
+        if skipped:
+            yield {"unreadable": b"".join(skipped), "start": start - sum(map(len, skipped))}
+            skipped = []
+        if fields:
+            length = int(fields["Archive-length"])
+            block = file.read(length)
+            offset += len(block)
+            yield fields | {"block": block, "cut": len(block) < length, "version": declared[0], "start": start}
+    if skipped:
+        yield {"unreadable": b"".join(skipped), "start": offset - sum(map(len, skipped))}
 
 
 def warc_date(date: str) -> str:
@@ -195,15 +250,21 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 
     An identifier is a name-based UUID of file number, offset, url and date. A
     block that begins with an HTTP status line is a response, any other one a
-    resource of the declared type.
+    resource of the declared type. What cannot be read is a row of type
+    ``unreadable``, its uri the file and the place.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def records() -> Iterator[tuple]:
             for batch in batches:
                 for name, content in zip(batch["path"], batch["content"]):
-                    file = re.sub(r"^(part-\d+)?.*", r"\1", name.rsplit("/", 1)[1]) or name.rsplit("/", 1)[1]
+                    file = file_of(name)
                     for r in arc_records(content):
+                        if lost := r.get("unreadable"):
+                            place = f"{file}#{r['start']}"
+                            identifier = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, place)}>"
+                            yield identifier, "unreadable", place, None, None, None, None, False, sha1(lost), len(lost), lost
+                            continue
                         block, http = r["block"], r["block"].startswith(b"HTTP/")
                         payload = payload_of(block)
                         key = f"{file}:{r['start']}:{r['URL']}:{r['Archive-date']}"
@@ -225,13 +286,14 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 def with_revisits(records: DataFrame, crawl: Crawl = Crawl()) -> DataFrame:
     """Of responses with equal payloads the one with the largest page_id stays, the others revisit it.
 
-    NULL page ids are smallest; of repeated rows with the largest id one stays,
-    by its identifier. The blocks of revisits shrink to the HTTP header.
+    Ids that are no whole numbers are compared as text and are below all numbers,
+    NULL is below them; of repeated rows with the largest id one stays, by its
+    identifier. The blocks of revisits shrink to the HTTP header.
     """
-    number = F.col("page_id").cast("decimal(38,0)")
+    number = F.expr("try_cast(page_id as decimal(38,0))")
     able = (F.col("record_type") == "response") & (F.col("payload_bytes") >= crawl.least_revisit)
     groups = records.filter(able).groupBy(F.col("payload_digest").alias("g_digest")).agg(
-        F.count("*").alias("n"), F.max(F.struct(number.alias("number"), F.col("record_id").alias("id"), "uri", "date")).alias("first")
+        F.count("*").alias("n"), F.max(F.struct(number.alias("number"), "page_id", F.col("record_id").alias("id"), "uri", "date")).alias("first")
     )
     first = settle(groups.filter("n > 1").select("g_digest", F.col("first.id").alias("to_id"), F.col("first.uri").alias("to_uri"), F.col("first.date").alias("to_date")), "archive-groups")
     joined = records.join(first, able & (F.col("payload_digest") == F.col("g_digest")), "left")
@@ -252,20 +314,18 @@ def warc_record(fields: dict[str, object], block: bytes) -> bytes:
 
 
 def write_warc(records: DataFrame, path: str, crawl: Crawl = Crawl()) -> None:
-    """A WARC file for each partition, a warcinfo record first."""
+    """WARC files of each partition, a warcinfo record first in each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = TaskContext.get().partitionId()
+        archive = Volumes("warc", WARC_END, crawl.archive_bytes)
 
         def written() -> Iterator[tuple]:
-            first = True
             for batch in batches:
                 for r in batch.to_dict("records"):
-                    if first:
-                        name = f"part-{number:05d}.warc"
+                    if archive.full():
+                        name = archive.begin()
                         info = {"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>", "WARC-Date": warc_date(crawl.date), "WARC-Filename": name, "Content-Type": "application/warc-fields"}
-                        yield (warc_record(info, f"software: {crawl.agent}\r\nformat: WARC File Format 1.0\r\n".encode()),)
-                        first = False
+                        yield archive.row(warc_record(info, f"software: {crawl.agent}\r\nformat: WARC File Format 1.0\r\n".encode()))
                     fields = {
                         "WARC-Type": r["record_type"], "WARC-Record-ID": r["record_id"], "WARC-Date": r["date"],
                         "WARC-Target-URI": r["uri"], "WARC-IP-Address": r["ip"],
@@ -274,11 +334,11 @@ def write_warc(records: DataFrame, path: str, crawl: Crawl = Crawl()) -> None:
                     }
                     if r["record_type"] == "revisit":
                         fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": r["to_id"], "WARC-Refers-To-Target-URI": r["to_uri"], "WARC-Refers-To-Date": r["to_date"]}
-                    yield (warc_record(fields, r["block"]),)
+                    yield archive.row(warc_record(fields, r["block"]))
 
-        yield from parts(written(), ["content"])
+        yield from parts(written(), ["volume", "seq", "content"])
 
-    sink(records.mapInPandas(run, "content binary"), path, "\r\n\r\n")
+    sink(records.mapInPandas(run, Volumes.schema), path, WARC_END)
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -326,9 +386,11 @@ def read_warc(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
     return files(spark, path).mapInPandas(run, schema)
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, crawl: Crawl = Crawl()) -> None:
-    """Writes the ARC files of ``arc_path`` anew as WARC files, equal payloads as revisits."""
-    write_warc(with_revisits(settle(read_arc(spark, arc_path), "archive-records"), crawl), warc_path, crawl)
+def convert(spark: SparkSession, arc_path: str, warc_path: str, crawl: Crawl = Crawl()) -> DataFrame:
+    """Writes the ARC files of ``arc_path`` anew as WARC files, equal payloads as revisits; returns what was unreadable."""
+    records = settle(read_arc(spark, arc_path), "archive-records")
+    write_warc(with_revisits(records.filter("record_type != 'unreadable'"), crawl), warc_path, crawl)
+    return records.filter("record_type = 'unreadable'").select("record_id", F.col("uri").alias("place"), "block")
 
 
 def op6(pages: DataFrame, crawl: Crawl = Crawl()) -> DataFrame:
