@@ -21,18 +21,60 @@ MODEL = sentencepiece.SentencePieceProcessor(model_file=COUNTING.model)
 MACHINE = tokens.Transducer(COUNTING)
 
 
-def chunked(text, size):
+def chunked(text, size, before=COUNTING.before):
+    """The tokens of a text by its chunks' maps; None if a chunk is entered in a state that its map does not have."""
     if not text:
         return 0
-    parts = [text[i : i + size] for i in range(0, len(text), size)]
-    marked = [(tokens.SPACE if i == 0 else "") + p.replace(" ", tokens.SPACE) for i, p in enumerate(parts)]
-    return MACHINE.scan([MACHINE.chunk_map(p) for p in marked])
+    parts = [tokens.marked(text[i : i + size], i == 0) for i in range(0, len(text), size)]
+    front = [tokens.marked(text[max(0, i - before) : i], False) for i in range(0, len(text), size)]
+    return tokens.scan([MACHINE.chunk_map(f, p) for f, p in zip(front, parts)])
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.sampled_from("  \n\tabcdefghinorst.,<>s/09éß日🙂▁\x00"), max_size=60), st.integers(1, 20))
-def test_transducer_counts_as_the_library(text, size):
-    assert chunked(text, size) == len(MODEL.encode(text))
+@given(st.text(st.sampled_from("  \n\tabcdefghinorst.,<>s/09éß日🙂▁\x00"), max_size=60), st.integers(1, 20), st.integers(1, 30))
+def test_transducer_counts_as_the_library(text, size, before):
+    """A map without the entering state says so, it never gives another count."""
+    assert chunked(text, size, before) in (len(MODEL.encode(text)), None)
+    assert MACHINE.count(tokens.marked(text, True)) == len(MODEL.encode(text))
+
+
+def test_maps_of_runs_without_blanks():
+    """Chunks without a place to cut have few entering states, and the true one among them; runs of one letter have several."""
+    rng = random.Random(2)
+    base64_text = base64.b64encode(rng.randbytes(6000)).decode()
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(4000))
+    mixed = base64_text[:3000] + " a b " + chinese[:2500] + "=" * 3001
+    for text in (base64_text, chinese, "a" * 5000, "=" * 4001, "ab" * 2500, mixed, " " * 4000):
+        assert chunked(text, 512) == len(MODEL.encode(text))
+    assert len(MACHINE.chunk_map(base64_text[500:692], base64_text[692:1204])) == 1
+    assert list(MACHINE.chunk_map("x" * 150 + tokens.SPACE + "ab", "cd" * 90)) == [tokens.ANY]
+
+
+def test_maps_compose_in_any_grouping():
+    text = base64.b64encode(random.Random(3).randbytes(1500)).decode()
+    maps = [MACHINE.chunk_map(text[max(0, i - 100) : i], tokens.marked(text[i : i + 250], i == 0)) for i in range(0, len(text), 250)]
+    left, right = maps[0], maps[-1]
+    for m in maps[1:]:
+        left = tokens.compose(left, m)
+    for m in maps[-2::-1]:
+        right = tokens.compose(m, right)
+    assert left == right and left[tokens.ANY][0] == tokens.scan(maps) == len(MODEL.encode(text))
+
+
+def test_long_texts_without_blanks_are_dealt(documents):
+    """A text of a megabyte without a blank is read by several tasks; one that no map fits is read anew."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("日本語中文字漢", k=700_000)), base64.b64encode(rng.randbytes(300_000)).decode(), "short one"]
+    docs = documents([*enumerate(texts), (1, texts[1])])
+    dealt = tokens.chunks_of(docs, COUNTING).filter("doc_id = 0").select(F.spark_partition_id().alias("p"), F.length("text").alias("n"))
+    assert dealt.distinct().count() > 1 and dealt.agg(F.sum("n")).first()[0] == len(texts[0])
+    expected = sorted((i, len(MODEL.encode(texts[i]))) for i in (0, 1, 1, 2))
+    assert sorted((r.doc_id, r.n_tokens) for r in tokens.count_tokens(docs).collect()) == expected
+    runs = documents([(0, "a" * 3000), (1, "a" * 3000), (2, None), (None, "=" * 3000)])
+    few = tokens.Counting(chunk=97, before=5, phases=1)
+    assert tokens.chunks_of(runs, few).count() == 3 * 31 + 1
+    n = {r.doc_id: r.n_tokens for r in tokens.count_tokens(runs, few).collect()}
+    assert n == {0: len(MODEL.encode("a" * 3000)), 1: len(MODEL.encode("a" * 3000)), 2: 0, None: len(MODEL.encode("=" * 3000))}
 
 
 def test_token_counts_over_chunks(documents):
