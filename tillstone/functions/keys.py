@@ -18,12 +18,13 @@ def surrogate_key(columns, null_token: str | None = None) -> Column:
     """SHA-256 hex of the joined columns.
 
     Joining skips NULLs, so (a, NULL, b) and (a, b) get the same key; a
-    ``null_token`` keeps them apart.
+    ``null_token`` keeps them apart. There always is a key; coalesce tells the
+    optimizer, so no plan looks for rows without one.
     """
     parts = [F.col(f"`{c}`") for c in columns]
     if null_token is not None:
         parts = [F.coalesce(p.cast("string"), F.lit(null_token)) for p in parts]
-    return F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), KEY_BITS)
+    return F.coalesce(F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), KEY_BITS), F.lit(""))
 
 
 def sales_key(null_token: str | None = None) -> Column:
