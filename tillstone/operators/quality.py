@@ -112,21 +112,25 @@ def triage(
         failed = F.when(bad, F.lit(rule)).otherwise(failed)
     ranks = {f"_prefer{i}": c for i, c in enumerate(prefer)}
     order = [F.col(c).desc_nulls_last() for c in ranks] + total_order(order_columns or df.columns, keys, latest_by) + [F.col("_row")]
-    rows = df.withColumns(ranks | {RULE: failed, "_row": F.monotonically_increasing_id()})
     columns = df.columns
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        return rows.withColumns(ranks | {RULE: failed, "_row": F.monotonically_increasing_id()})
+
     if keep is None:
-        return _ranked_by_salts(rows, columns, keys, order, salts)
+        return _ranked_by_salts(numbered(df), columns, keys, order, salts)
     # Rows that lack a column are out whatever else they have; their keys need no count.
-    key = F.when(missing == "", F.xxhash64(*[_named(k) for k in keys]))
+    key = F.when(all_present(mandatory), F.xxhash64(*[_named(k) for k in keys]))
     counted = df.select(key.alias("_key")).filter("_key is not null").groupBy("_key").agg(F.count(F.lit(1)).alias("_copies"))
     repeated, n = keep(counted.filter("_copies > 1"))
-    rows = rows.withColumn("_key", key)
+    # Rules and ranks are read off the rows after they are chosen by their keys: not for each row of both reads.
+    rows = df.withColumn("_key", key)
     if n <= FEW_KEYS:
         few = F.broadcast(repeated.select("_key"))
-        alone = rows.join(few, "_key", "left_anti").select(*[_named(c) for c in columns], RULE)
-        return alone.unionByName(_ranked_by_salts(rows.join(few, "_key", "left_semi"), columns, keys, order, salts))
+        alone = rows.join(few, "_key", "left_anti").select(*[_named(c) for c in columns], failed.alias(RULE))
+        return alone.unionByName(_ranked_by_salts(numbered(rows.join(few, "_key", "left_semi")), columns, keys, order, salts))
     hot = F.broadcast(repeated.filter(F.col("_copies") > MANY_COPIES).select("_key"))
-    usual = rows.join(hot, "_key", "left_anti")
+    usual = numbered(rows.join(hot, "_key", "left_anti"))
     # A row that is out goes on under a number of its own, so that such rows do not meet either.
     stays = F.col(RULE).isNull()
     groups = [*map(_named, keys), F.col("_own")]
@@ -137,7 +141,7 @@ def triage(
         groups = [F.col("_cluster"), F.col("_cell"), *groups]
     usual = usual.withColumn("_rank", F.row_number().over(_within(groups, order)))
     usual = _with_copies(usual, columns, keys, F.col("_rank") > 1)
-    return usual.unionByName(_ranked_by_salts(rows.join(hot, "_key", "left_semi"), columns, keys, order, salts))
+    return usual.unionByName(_ranked_by_salts(numbered(rows.join(hot, "_key", "left_semi")), columns, keys, order, salts))
 
 
 def _within(groups: list[Column], order: list[Column]):

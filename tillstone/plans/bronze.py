@@ -21,7 +21,11 @@ from tillstone.schemas import Dataset
 from tillstone.sources.landing import stamp_processing_date
 from tillstone.sources.readers import MALFORMED, scan_landed_lines
 from tillstone.sources.quality_log import QualityLog
-from tillstone.sources.tables import NOT_OLDER, TableStore, month_part
+from tillstone.sources.tables import NOT_OLDER, TableStore, month_of
+
+
+#: The event date of a delivered row as silver reads it; not stored.
+EVENT_DAY = "_event_day"
 
 
 def bronze_schema(dataset: Dataset) -> T.StructType:
@@ -57,19 +61,27 @@ def tagged_batch(landing: DataFrame, dataset: Dataset, as_of: date | None = None
     A row whose event date is no real one (unreadable, before 1900 or later than
     ``as_of``) is refused here: its month would not be one of the calendar.
     """
+    return _with_event_day(landing, dataset, as_of, keep).drop(EVENT_DAY)
+
+
+def _with_event_day(landing: DataFrame, dataset: Dataset, as_of: date | None, keep: Keep | None) -> DataFrame:
+    """``tagged_batch``, and its event date as silver reads it."""
     today = F.current_date() if as_of is None else F.lit(as_of)
     line = F.col(MALFORMED) if MALFORMED in landing.columns else F.lit(None).cast("string").alias(MALFORMED)
     refuse = {"malformed": F.col(MALFORMED).isNotNull()}
-    if dataset.event_date:
-        text = F.col(f"`{dataset.event_date}`")
-        refuse[f"date:{dataset.event_date}"] = text.isNotNull() & rules.clean_date(text, today).isNull()
     rows = landing.select(*[F.col(f"`{c}`") for c in dataset.raw_columns], line)
+    if dataset.event_date:
+        # Read once, as a column: spelled out wherever it is asked for, it makes methods too large to be compiled.
+        text, day = F.col(f"`{dataset.event_date}`"), F.col(EVENT_DAY)
+        rows = rows.withColumn(EVENT_DAY, rules.normalise_date(text))
+        refuse[f"date:{dataset.event_date}"] = text.isNotNull() & rules.bound_date(day, today).isNull()
     columns = dataset.raw_columns
     return triage(rows, dataset.natural_key, dataset.natural_key, prefer=_preferred(dataset, as_of), refuse=refuse, order_columns=columns, keep=keep, cluster=part_of(dataset))
 
 
 def part_of(dataset: Dataset) -> Column | None:
-    return month_part(dataset.event_date) if dataset.event_date else None
+    """Month of a row that has its event date read."""
+    return month_of(F.col(EVENT_DAY)) if dataset.event_date else None
 
 
 def bronze_steps(dataset: Dataset) -> tuple[str, ...]:
@@ -94,7 +106,7 @@ def merge_landing(store: TableStore, landing: DataFrame, dataset: Dataset, day:
     part = part_of(dataset)
     log = QualityLog(store.spark, store.root)
     repeated = log.keep(dataset.name)
-    batch = log.sort(tagged_batch(landing, dataset, as_of, repeated), dataset.name, day, bronze_steps(dataset), part, only_rejects=(MALFORMED,))
+    batch = log.sort(_with_event_day(landing, dataset, as_of, repeated), dataset.name, day, bronze_steps(dataset), part, only_rejects=(MALFORMED,), unstored=(EVENT_DAY,))
     return store.upsert(
         dataset.bronze_table,
         bronze_schema(dataset),

@@ -77,25 +77,32 @@ class QualityLog:
         return Repeated(self.spark, f"{self.root}/_repeated/{dataset}-{uuid.uuid4().hex}")
 
     def sort(
-        self, tagged: DataFrame, dataset: str, day: date, steps, part: Column | None = None, only_rejects=(),
+        self, tagged: DataFrame, dataset: str, day: date, steps, part: Column | None = None, only_rejects=(), unstored=(),
     ) -> Sorted:
         """Write a batch with its ``rule`` column, commit its audit, and hand back the rows without a rule.
 
         ``steps`` are the kinds of rules that were applied, each gets an audit row;
-        ``only_rejects`` names columns that are stored for rejected rows alone.
+        ``only_rejects`` names columns that are stored for rejected rows alone, ``unstored`` some that are for ``part`` only.
         """
         load = uuid.uuid4().hex
         path = f"{self.root}/{dataset}/load={load}"
-        kind = F.split_part(RULE, F.lit(":"), F.lit(1))
         stays = F.col(RULE).isNull()
         seen = Observation()
         tagged = tagged.withColumns({c: F.when(~stays, F.col(c)) for c in only_rejects})
-        counted = tagged.withColumn("kind", F.when(stays, F.lit("valid")).otherwise(F.lit("rejects"))).observe(
+        tagged = tagged.withColumns(
+            {
+                "kind": F.when(stays, F.lit("valid")).otherwise(F.lit("rejects")),
+                # What is observed is interpreted for each row: let it find columns, not expressions.
+                "_step": F.split_part(RULE, F.lit(":"), F.lit(1)),
+                "_part": F.when(stays, F.lit(None).cast("string") if part is None else part),
+            }
+        )
+        counted = tagged.observe(
             seen,
             F.count(F.lit(1)).alias("rows"),
-            *[F.count_if(kind == s).alias(s) for s in steps],
-            F.collect_set(F.when(stays, F.lit(None).cast("string") if part is None else part)).alias("parts"),
-        )
+            *[F.count_if(F.col("_step") == s).alias(s) for s in steps],
+            F.collect_set("_part").alias("parts"),
+        ).drop("_step", "_part", *unstored)
         counted.write.option("compression", CODEC).partitionBy("kind").parquet(path)
         counts = seen.get
         now, left, audit = datetime.now(timezone.utc), counts["rows"], []
@@ -104,7 +111,7 @@ class QualityLog:
             left -= counts[step]
         steps_done = self.spark.createDataFrame(audit, AUDIT_SCHEMA).drop("dataset").coalesce(1)
         steps_done.write.mode("append").parquet(f"{self._audit_path}/dataset={dataset}")
-        schema = T.StructType([f for f in tagged.schema if f.name != RULE and f.name not in only_rejects])
+        schema = T.StructType([f for f in counted.schema if f.name not in (RULE, "kind", *only_rejects)])
         valid = self.spark.read.schema(schema).parquet(f"{path}/kind=valid") if left else empty_table(self.spark, schema)
         return Sorted(valid, sorted(counts["parts"]), left)
 

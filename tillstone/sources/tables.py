@@ -50,8 +50,12 @@ def month_part(column: str) -> Column:
     Loads refuse rows without a real date before they come here; what
     other callers bring without one shares the part ``undated``.
     """
-    day = normalise_date(F.col(f"`{column}`").cast("string"))
-    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit(UNDATED))
+    return month_of(normalise_date(F.col(f"`{column}`").cast("string")))
+
+
+def month_of(day: Column) -> Column:
+    """The month as ``yyyy-MM`` (dates that the rules read have years of four digits); a formatter would take a time zone and most of a load's time."""
+    return F.coalesce(F.substring(day.cast("string"), 1, 7), F.lit(UNDATED))
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -234,13 +238,14 @@ class TableStore:
         inserted = F.col(ACTION) == "insert"
         updated = F.col(ACTION) == "update"
         seen = Observation()
-        counted = merged.observe(
+        # What is collected is interpreted for each row: let it find a column, not an expression.
+        counted = merged.withColumn("_changed", F.when(inserted | updated, F.col(PART))).observe(
             seen,
             F.count_if(inserted).alias("rows_inserted"),
             F.count_if(updated).alias("rows_updated"),
             F.collect_set(PART).alias("parts"),
-            F.collect_set(F.when(inserted | updated, F.col(PART))).alias("changed"),
-        )
+            F.collect_set("_changed").alias("changed"),
+        ).drop("_changed")
         snapshot = max(current.values()) + 1
         path = self._snapshot_path(name, snapshot)
         counted.write.mode("overwrite").option("compression", CODEC).partitionBy(PART).parquet(path)
