@@ -36,8 +36,13 @@ def sales_star(fact, product, customer, employee, calendar) -> DataFrame:
     days = calendar.select(
         F.col("date_id").alias("transaction_date_id"), "FiscalYear", "FiscalMonthName", "DayName"
     )
-    joined = fact.join(products, F.col("product_id").cast("string") == F.col("_product"), "left").drop("_product")
-    return _left(_left(_left(joined, customers, "customer_id"), staff, "staff_id"), days, "transaction_date_id")
+    # Products have the longest attributes: where facts are moved to both, those need not go on to the customers.
+    joined = _left(fact, customers, "customer_id")
+    joined = joined.join(products, F.col("product_id").cast("string") == F.col("_product"), "left").drop("_product")
+    star = _left(_left(joined, staff, "staff_id"), days, "transaction_date_id")
+    first = ["transaction_date_id", "staff_id", "customer_id"]
+    attributes = [*products.columns[1:], *customers.columns[1:], *staff.columns[1:], *days.columns[1:]]
+    return star.select(*first, *[f"`{c}`" for c in fact.columns if c not in first], *attributes)
 
 
 def inventory_star(fact, product, store, calendar) -> DataFrame:

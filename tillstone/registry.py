@@ -730,9 +730,19 @@ def _analysis(name: str, answer, *tables: str) -> None:
     _register(name, lambda spark, sf_dir: answer(*[gold_table(spark, sf_dir, t) for t in tables]))
 
 
-_analysis(
-    "sales_star", analytics.sales_star, "fact_sales", "dim_product", "dim_customer", "dim_employee", "transaction_calendar"
-)
+@query
+def sales_star(spark, sf_dir):
+    """Columns of a sale that follow from its others are not moved to the dimensions, they are set again afterwards."""
+    fact, *dimensions = (
+        gold_table(spark, sf_dir, t) for t in ("fact_sales", "dim_product", "dim_customer", "dim_employee", "transaction_calendar")
+    )
+    derived = ("sales_key", "time_of_day_category", "revenue")
+    star = analytics.sales_star(fact.drop(*derived), *dimensions)
+    first = [c for c in star.columns if c not in fact.columns or c in ("transaction_date_id", "staff_id", "customer_id")]
+    whole = gold.enrich_sales(star.withColumn("sales_key", keys.sales_key()))
+    return whole.select(*first[:3], *[f"`{c}`" for c in fact.columns if c not in first], *first[3:])
+
+
 _analysis("inventory_star", analytics.inventory_star, "fact_inventory", "dim_product", "dim_store", "baked_calendar")
 _analysis("revenue_by_period", analytics.revenue_by_period, "fact_sales", "transaction_calendar")
 _analysis("revenue_by_level", analytics.revenue_by_level, "fact_sales", "transaction_calendar")
