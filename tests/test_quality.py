@@ -134,3 +134,14 @@ def test_customers_without_purchases_and_unstocked_days_count_as_such(spark):
         days, "store_id int, product_id int, transaction_date date, quantity_start_of_day int, stockout_flag string"
     )
     assert [tuple(r) for r in analytics.stockout_events(stock).collect()] == [(1, 1, 2, 1)]
+
+
+def test_keys_meet_their_parents_without_a_side_in_memory(spark, tmp_path):
+    """Parents in small files may have many keys: no plan sends them to every task through the driver."""
+    spark.range(2_000).selectExpr("id % 7 as id").write.parquet(f"{tmp_path}/parents")
+    child = spark.createDataFrame([(3, None), (8, 1), (8, 9), (None, 9)], "a int, b int")
+    parent = spark.read.parquet(f"{tmp_path}/parents").unionByName(spark.createDataFrame([(None,)], "id bigint"))
+    found = quality.orphan_keys(child, [("a", parent, "id", "a"), ("b", parent, "id", "b")])
+    plan = found._jdf.queryExecution().simpleString()
+    assert "Broadcast" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert Counter(tuple(r) for r in found.collect()) == Counter([("a", "8", 2), ("b", "9", 2)])
