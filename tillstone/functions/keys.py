@@ -26,7 +26,16 @@ def surrogate_key(columns, null_token: str | None = None) -> Column:
     parts = [F.col(f"`{c}`") for c in columns]
     if null_token is not None:
         parts = [F.coalesce(p.cast("string"), F.lit(null_token)) for p in parts]
-    return F.coalesce(F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), KEY_BITS), F.lit(""))
+    return F.coalesce(F.sha2(_joined(parts), KEY_BITS), F.lit(""))
+
+
+def _joined(parts: list[Column]) -> Column:
+    return F.concat_ws(KEY_SEPARATOR, *parts)
+
+
+def key_text(columns) -> Column:
+    """The text that ``surrogate_key`` is the digest of: where one is equal, so is the other."""
+    return _joined([F.col(f"`{c}`") for c in columns])
 
 
 def sales_key(null_token: str | None = None) -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstone.functions.keys import date_id
+
 MONEY = "decimal(18,2)"
 
 
@@ -27,7 +29,7 @@ def _left(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
 
 
 def sales_star(fact, product, customer, employee, calendar) -> DataFrame:
-    """Every sale with the attributes of its product, customer, employee and day."""
+    """Every sale with the attributes of its product, customer, employee and day; a fact without the key of its day gets it here."""
     products = product.select(
         F.col("product_id").alias("_product"), "product", "product_category", "product_type"
     )
@@ -39,6 +41,8 @@ def sales_star(fact, product, customer, employee, calendar) -> DataFrame:
     # Products have the longest attributes: where facts are moved to both, those need not go on to the customers.
     joined = _left(fact, customers, "customer_id")
     joined = joined.join(products, F.col("product_id").cast("string") == F.col("_product"), "left").drop("_product")
+    if "transaction_date_id" not in joined.columns:
+        joined = joined.withColumn("transaction_date_id", date_id(F.col("transaction_date")))
     star = _left(_left(joined, staff, "staff_id"), days, "transaction_date_id")
     first = ["transaction_date_id", "staff_id", "customer_id"]
     attributes = [*products.columns[1:], *customers.columns[1:], *staff.columns[1:], *days.columns[1:]]

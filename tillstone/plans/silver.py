@@ -79,6 +79,18 @@ def standardise(raw: DataFrame, dataset: Dataset, processing_date: date, as_of:
     return typed.withColumns(key_columns(dataset))
 
 
+def clean_sales_by_text(raw: DataFrame, processing_date: date = REFERENCE_DATE, as_of: date | None = None) -> DataFrame:
+    """``clean`` of sales for readers that merge nothing: rows meet by the text of their key, its digest is set afterwards.
+
+    A digest does not compress, so it is most of what a row moves. A merge needs its rows dealt by digest all the same.
+    """
+    dataset, text = DATASETS["sales"], "_key_text"
+    # The date id follows from the date, so no order of rows depends on it.
+    standard = standardise(raw, dataset, processing_date, as_of).drop(*key_columns(dataset))
+    valid = keep_complete(standard.withColumn(text, keys.key_text(keys.SALES_KEY_COLUMNS)), dataset.mandatory, (text,), dataset.latest_by)
+    return project_contract(valid.withColumns(key_columns(dataset)), dataset.silver)
+
+
 def _helpers(dataset: Dataset) -> list[str]:
     return ["unit_of_measure"] if dataset.name == "product" else []
 

@@ -50,7 +50,10 @@ def standard(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def silver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The silver table after its first batch."""
     dataset = DATASETS[name]
-    batch = silver.clean(raw(spark, sf_dir, name), dataset, DAY, DAY)
+    return merged_silver(spark, dataset, silver.clean(raw(spark, sf_dir, name), dataset, DAY, DAY))
+
+
+def merged_silver(spark: SparkSession, dataset: Dataset, batch: DataFrame) -> DataFrame:
     return silver.merge_silver(empty_table(spark, dataset.silver), batch, dataset, DAY)
 
 
@@ -58,6 +61,10 @@ def gold_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The gold table after its first batch."""
     source = gold.GOLD[table].source
     rows = calendar(spark, sf_dir) if source == "calendar" else silver_table(spark, sf_dir, source)
+    return merged_gold(spark, table, rows)
+
+
+def merged_gold(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
     return gold.merge_gold(table, empty_table(spark, gold.GOLD[table].schema), gold.build_gold(table, rows)).to_df()
 
 
@@ -732,11 +739,11 @@ def _analysis(name: str, answer, *tables: str) -> None:
 
 @query
 def sales_star(spark, sf_dir):
-    """Columns of a sale that follow from its others are not moved to the dimensions, they are set again afterwards."""
-    fact, *dimensions = (
-        gold_table(spark, sf_dir, t) for t in ("fact_sales", "dim_product", "dim_customer", "dim_employee", "transaction_calendar")
-    )
-    derived = ("sales_key", "time_of_day_category", "revenue")
+    """Columns of a sale that follow from its others are not moved to its copies or the dimensions, they are set afterwards."""
+    dimensions = (gold_table(spark, sf_dir, t) for t in ("dim_product", "dim_customer", "dim_employee", "transaction_calendar"))
+    batch = silver.clean_sales_by_text(raw(spark, sf_dir, "sales"), DAY, DAY)
+    fact = merged_gold(spark, "fact_sales", merged_silver(spark, DATASETS["sales"], batch))
+    derived = ("sales_key", "transaction_date_id", "time_of_day_category", "revenue")
     star = analytics.sales_star(fact.drop(*derived), *dimensions)
     first = [c for c in star.columns if c not in fact.columns or c in ("transaction_date_id", "staff_id", "customer_id")]
     whole = gold.enrich_sales(star.withColumn("sales_key", keys.sales_key()))
